@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm.copies import format_groups, format_links
+from quillmark.llm.mojibake import repair
+from quillmark.llm.tokens import encode_corpus
 from quillmark.llm.topn import top_n
 from quillmark.runtime import table
 
@@ -29,6 +31,15 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return top_n(table(spark, d, "rd_urls"), "registry_id", "score", "rank", "id", n=10)
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    r = repair(table(spark, d, "documents"), "doc_id", "text", "source")
+    return r.select(F.col("id").alias("doc_id"), F.when(F.col("restored") == "", "").otherwise(F.md5("restored")).alias("restored_md5"))
+
+
 _CANON = """
 lower(regexp_replace(CASE WHEN instr(url, '?') = 0 THEN url ELSE substr(url, 1, instr(url, '?') - 1) END, '[^\\p{L}\\p{N}]+', '', 'g'))
 || CASE WHEN instr(url, '?') = 0 THEN '' ELSE coalesce('?' || nullif(list_aggregate(list_sort(list_filter(list_transform(
@@ -47,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
     "p2_found": p2_found,
+    "p8_ids": p8_ids,
+    "p10_found": p10_found,
 }
 
 SQL: dict[str, str] = {
