@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmark.llm.copies import format_groups, format_links
 from quillmark.llm.mojibake import repair
+from quillmark.llm.packing import fill, pack
 from quillmark.llm.tokens import encode_corpus
 from quillmark.llm.topn import top_n
 from quillmark.runtime import table
@@ -35,6 +36,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p9_packed(spark: SparkSession, d: str) -> DataFrame:
+    return pack(table(spark, d, "documents"), "doc_id", "text", capacity=2048)
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    return fill(p9_packed(spark, d), 2048)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     r = repair(table(spark, d, "documents"), "doc_id", "text", "source")
     return r.select(F.col("id").alias("doc_id"), F.when(F.col("restored") == "", "").otherwise(F.md5("restored")).alias("restored_md5"))
@@ -59,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_copies": p1_copies,
     "p2_found": p2_found,
     "p8_ids": p8_ids,
+    "p9_packed": p9_packed,
+    "p9_fill": p9_fill,
     "p10_found": p10_found,
 }
 
