@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from quillmark.llm.mojibake import repair
 from quillmark.llm.packing import fill, pack
 from quillmark.llm.tokens import encode_corpus
 from quillmark.llm.topn import top_n
+from quillmark.llm.truncation import cut_rates, find_cut
 from quillmark.runtime import table
 
 
@@ -32,6 +34,26 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return top_n(table(spark, d, "rd_urls"), "registry_id", "score", "rank", "id", n=10)
 
 
+#: Table, field, what a source is, column with an address that the text mentions.
+_CUT = [("rd_urls", "context", "batch_id", "url"), ("rd_urls", "description", "batch_id", None), ("rd_resource_candidate", "description", "batch_id", None), ("rd_paper_reference", "title", "publisher_id", None)]
+
+
+def _cut(spark: SparkSession, d: str, what, *cols: str) -> DataFrame:
+    parts = []
+    for t, field, source, known in _CUT:
+        r = what(table(spark, d, t), "id", field, source, known)
+        parts.append(r.select(F.lit(t).alias("tbl"), F.lit(field).alias("field"), *cols))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _cut(spark, d, find_cut, "id")
+
+
+def p6_rates(spark: SparkSession, d: str) -> DataFrame:
+    return _cut(spark, d, cut_rates, "source", "values", "cut", "share")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
 
@@ -67,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
     "p2_found": p2_found,
+    "p6_found": p6_found,
+    "p6_rates": p6_rates,
     "p8_ids": p8_ids,
     "p9_packed": p9_packed,
     "p9_fill": p9_fill,
