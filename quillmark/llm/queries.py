@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm.copies import format_groups, format_links
+from quillmark.llm.copies import address, format_groups, format_links
+from quillmark.llm.increment import deduplicate_history, host, word_set
 from quillmark.llm.mojibake import repair
 from quillmark.llm.packing import fill, pack
 from quillmark.llm.tokens import encode_corpus
@@ -54,6 +55,17 @@ def p6_rates(spark: SparkSession, d: str) -> DataFrame:
     return _cut(spark, d, cut_rates, "source", "values", "cut", "share")
 
 
+def _submissions(spark: SparkSession, d: str) -> DataFrame:
+    c, u = table(spark, d, "rd_resource_candidate"), table(spark, d, "rd_urls")
+    x = c.select("id", "url_id", "description").join(u.select(u["id"].alias("url_id"), "url", "batch_id"), "url_id")
+    return x.select("id", F.col("batch_id").alias("batch"), address(F.col("url")).alias("addr"), host(F.col("url")).alias("host"), word_set(F.col("description")).alias("words"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    r = deduplicate_history(_submissions(spark, d))
+    return r.select(F.least("id", "repeats").alias("id_a"), F.greatest("id", "repeats").alias("id_b"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
 
@@ -91,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p6_found": p6_found,
     "p6_rates": p6_rates,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p9_packed": p9_packed,
     "p9_fill": p9_fill,
