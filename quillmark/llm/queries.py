@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillmark.llm.copies import address, format_groups, format_links
 from quillmark.llm.increment import deduplicate_history, host, word_set
 from quillmark.llm.mojibake import repair
+from quillmark.llm.names import organisations, persons, spelling_links, spellings
 from quillmark.llm.packing import fill, pack
 from quillmark.llm.tokens import encode_corpus
 from quillmark.llm.topn import top_n
@@ -35,6 +36,23 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return top_n(table(spark, d, "rd_urls"), "registry_id", "score", "rank", "id", n=10)
 
 
+def _entities(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    reg = table(spark, d, "registry")
+    org = organisations(spellings([(reg, "parent_organization"), (reg, "supporting_agency")]))
+    who = persons(spellings([(table(spark, d, "rd_paper_reference"), "authors")], ";"), table(spark, d, "given_name_ref"))
+    return org, who
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    org, who = _entities(spark, d)
+    return spelling_links(org).select(F.lit("org").alias("kind"), "*").unionByName(spelling_links(who).select(F.lit("person").alias("kind"), "*"))
+
+
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    org, who = _entities(spark, d)
+    return org.select(F.lit("org").alias("kind"), "*").unionByName(who.select(F.lit("person").alias("kind"), "*"))
+
+
 #: Table, field, what a source is, column with an address that the text mentions.
 _CUT = [("rd_urls", "context", "batch_id", "url"), ("rd_urls", "description", "batch_id", None), ("rd_resource_candidate", "description", "batch_id", None), ("rd_paper_reference", "title", "publisher_id", None)]
 
@@ -101,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
     "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_entities": p3_entities,
     "p6_found": p6_found,
     "p6_rates": p6_rates,
     "p7_found": p7_found,
