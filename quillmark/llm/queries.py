@@ -15,7 +15,7 @@ from quillmark.llm.names import organisations, persons, spelling_links, spelling
 from quillmark.llm.packing import fill, pack
 from quillmark.llm.tokens import encode_corpus
 from quillmark.llm.topn import top_n
-from quillmark.llm.truncation import cut_rates, find_cut
+from quillmark.llm.truncation import cut_rates, find_cut, values
 from quillmark.runtime import table
 
 
@@ -57,20 +57,21 @@ def p3_entities(spark: SparkSession, d: str) -> DataFrame:
 _CUT = [("rd_urls", "context", "batch_id", "url"), ("rd_urls", "description", "batch_id", None), ("rd_resource_candidate", "description", "batch_id", None), ("rd_paper_reference", "title", "publisher_id", None)]
 
 
-def _cut(spark: SparkSession, d: str, what, *cols: str) -> DataFrame:
-    parts = []
-    for t, field, source, known in _CUT:
-        r = what(table(spark, d, t), "id", field, source, known)
-        parts.append(r.select(F.lit(t).alias("tbl"), F.lit(field).alias("field"), *cols))
-    return functools.reduce(DataFrame.unionByName, parts)
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, [values(table(spark, d, t), f"{t}.{field}", "id", field, source, known) for t, field, source, known in _CUT])
+
+
+def _named(df: DataFrame, *cols: str) -> DataFrame:
+    part = F.split("field", "[.]")
+    return df.select(part[0].alias("tbl"), part[1].alias("field"), *cols)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _cut(spark, d, find_cut, "id")
+    return _named(find_cut(_texts(spark, d)), "id")
 
 
 def p6_rates(spark: SparkSession, d: str) -> DataFrame:
-    return _cut(spark, d, cut_rates, "source", "values", "cut", "share")
+    return _named(cut_rates(_texts(spark, d)), "source", "values", "cut", "share")
 
 
 def _submissions(spark: SparkSession, d: str) -> DataFrame:

@@ -68,8 +68,8 @@ def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
         z = (c - mu) / sd
         expected = (w.sum() + above) * math.exp(-z * z / 2) / (math.sqrt(2 * math.pi) * sd * limit)
         expected = max(expected, (sum(near) + sum(over)) / 10)
-        out.append((pdf["source"].iloc[0], int(limit), min(0.999, max(0.0, 1 - expected / n))))
-    return pd.DataFrame(out, columns=["source", "len", "censored"])
+        out.append((pdf["field"].iloc[0], pdf["source"].iloc[0], int(limit), min(0.999, max(0.0, 1 - expected / n))))
+    return pd.DataFrame(out, columns=["field", "source", "len", "censored"])
 
 
 def _first(seg: Column) -> Column:
@@ -87,82 +87,88 @@ def _letters(c: Column) -> Column:
     return F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", ""))
 
 
-def find_cut(df: DataFrame, id_col: str, text: str, source: str, known: str | None = None) -> DataFrame:
-    """(id, source, evidence, posterior) of the values whose end is missing. known: a column with an address the text mentions."""
-    rows = df.select(
-        df[id_col].alias("id"), F.coalesce(df[source].cast("string"), F.lit("")).alias("source"), df[text].alias("raw"),
+def values(df: DataFrame, field: str, id_col: str, text: str, source: str, known: str | None = None) -> DataFrame:
+    """(field, id, source, raw, known) of one text column; known: a column with an address the text mentions."""
+    return df.select(
+        F.lit(field).alias("field"), df[id_col].alias("id"), F.coalesce(df[source].cast("string"), F.lit("")).alias("source"), df[text].alias("raw"),
         (df[known] if known else F.lit(None).cast("string")).alias("known"),
     ).filter(F.trim(F.coalesce("raw", F.lit(""))) != "")
-    rows = rows.withColumn("v", F.regexp_replace("raw", r"[\s ]+$", ""))
 
-    lengths = rows.groupBy("source", F.length("raw").alias("len")).agg(F.count(F.lit(1)).alias("n"))
-    limits = lengths.groupBy("source").applyInPandas(_limits, "source string, len int, censored double")
 
-    segments = rows.select(F.explode(F.split("v", r"(?<=[.?!])\s+")).alias("seg")).filter("seg <> ''")
+def find_cut(rows: DataFrame) -> DataFrame:
+    """(field, id, source, evidence, posterior) of the values() whose end is missing; fields may be united beforehand, each is judged by itself."""
+    rows = rows.withColumn("v", F.regexp_replace("raw", r"[\s\u00a0]+$", ""))
+    sizes = {r.field: r.n for r in rows.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}  # as many as the caller named
+    count = sum(sizes.values())
+
+    lengths = rows.groupBy("field", "source", F.length("raw").alias("len")).agg(F.count(F.lit(1)).alias("n"))
+    limits = lengths.groupBy("field", "source").applyInPandas(_limits, "field string, source string, len int, censored double")
+
+    segments = rows.select("field", F.explode(F.split("v", r"(?<=[.?!])\s+")).alias("seg")).filter("seg <> ''")
     ends = F.when(F.col("seg").rlike(_END) & ~F.col("seg").rlike(_MARK), 0).otherwise(1)
-    begun = segments.select(F.explode(_starts(F.col("seg"))).alias("start"), ends.alias("open"))
-    begun = begun.groupBy("start").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
-    count = rows.count()
-    openers = begun.filter(F.col("n") >= max(3, int(count * OPENERS))).select("start", (F.col("open") < LOOSE * F.col("n")).alias("opens"))
-    openers = F.broadcast(openers)  # fewer than 4 / OPENERS rows: there are few segments to a value
+    begun = segments.select("field", F.explode(_starts(F.col("seg"))).alias("start"), ends.alias("open"))
+    begun = begun.groupBy("field", "start").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
+    least = F.lit(3)
+    for field, n in sizes.items():
+        least = F.when(F.col("field") == field, max(3, int(n * OPENERS))).otherwise(least)
+    openers = begun.filter(F.col("n") >= least).select("field", "start", (F.col("open") < LOOSE * F.col("n")).alias("opens"))
+    openers = F.broadcast(staged(openers, "openers"))  # fewer than 9 / OPENERS rows a field: there are few segments to a value
 
     link = F.regexp_extract("v", r"(?i)((https?://|www\.)\S*)$", 1)
     short = (link != "") & F.col("known").isNotNull() & (F.length(_letters(link)) < F.length(_letters(F.col("known")))) & F.startswith(_letters(F.col("known")), _letters(link))
     same = F.coalesce((link != "") & (_letters(link) == _letters(F.col("known"))), F.lit(False))
     marked = F.col("v").rlike(_MARK) & ~same  # an address may end in dots of its own
     loose = rows.filter(~F.col("v").rlike(_END) | marked | (short & F.col("v").rlike(r"[.]$")) | F.col("v").rlike(r"(^|\s)0\.$"))
-    loose = loose.select(
-        "id", "source", F.length("raw").alias("len"), marked.alias("marked"), short.alias("short"), (link != "").alias("link"), F.col("v").rlike(r"0\.$").alias("decimal"),
-        (F.size(F.split("v", r"(?<=[.?!])\s+")) > 1).alias("later"),
-        F.element_at(F.split("v", r"(?<=[.?!])\s+"), -1).alias("seg"),
-    )
-    loose = staged(loose, "loose")
+    split = F.split("v", r"(?<=[.?!])\s+")
     s = F.col("seg")
+    loose = loose.select(
+        "field", "id", "source", F.length("raw").alias("len"), marked.alias("marked"), short.alias("short"), (link != "").alias("link"), F.col("v").rlike(r"0\.$").alias("decimal"),
+        (F.size(split) > 1).alias("later"), F.element_at(split, -1).alias("seg"),
+    ).withColumn("starts", _starts(s))
     a = loose
     for k in range(3):
-        o = openers.select(F.col("start").alias(f"s{k}"), F.col("opens").alias(f"o{k}"))
-        a = a.withColumn(f"s{k}", F.get(_starts(s), F.lit(k))).join(o, f"s{k}", "left")
+        o = openers.select("field", F.col("start").alias(f"s{k}"), F.col("opens").alias(f"o{k}"))
+        a = a.withColumn(f"s{k}", F.get("starts", F.lit(k))).join(o, ["field", f"s{k}"], "left")
     # The address at the beginning says little by itself: what follows it decides.
     opened = F.when(F.col("s1") == "<url>", F.coalesce("o0", F.lit(False))).otherwise(F.coalesce("o0", "o1", "o2", F.lit(False)))
     # A last word alone that is the beginning of a word that opens sentences.
-    heads = openers.filter("opens and instr(start, ' ') = 0").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("start")), lambda n: F.substr("start", F.lit(1), n))).alias("seg")).distinct()
-    a = a.join(F.broadcast(heads.withColumn("head", F.lit(True))), "seg", "left")
+    heads = openers.filter("opens and instr(start, ' ') = 0").select("field", F.explode(F.transform(F.sequence(F.lit(1), F.length("start")), lambda n: F.substr("start", F.lit(1), n))).alias("seg")).distinct()
+    a = a.join(F.broadcast(heads.withColumn("head", F.lit(True))), ["field", "seg"], "left")
     a = a.withColumn("opened", opened | (F.coalesce("head", F.lit(False)) & F.col("later")))
+    a = staged(a.select("field", "id", "source", "len", "marked", "short", "link", "decimal", "seg", "opened"), "loose")
 
     words = F.split(F.regexp_replace(F.lower("seg"), r"\s+", " "), " ")
-    pair = lambda w, k: F.struct(F.coalesce(F.try_element_at(w, F.lit(k - 1)), F.lit("^")).alias("prev"), F.element_at(w, k).alias("word"))
-    b = a.filter("not opened and not marked").withColumn("w", words).select("*", pair(F.col("w"), -1).alias("p")).select("*", "p.prev", "p.word")
-    inner = b.filter(F.size("w") > 1).select(F.posexplode("w").alias("k", "word"), "w")
-    inner = inner.filter(F.col("k") < F.size("w") - 1).select(F.coalesce(F.get("w", F.col("k") - 1), F.lit("^")).alias("prev"), "word")
-    types = inner.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("going"))
-    last = b.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("ending"))
-    both = types.unionByName(last.filter("ending > 2").select("prev", "word", F.col("ending").alias("going")))
-    begun_words = both.filter(F.length("word") > 1).select("prev", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.substr("word", F.lit(1), n))).alias("word"), "going")
-    begun_words = begun_words.groupBy("prev", "word").agg(F.sum("going").alias("longer"))
-    ends_known = last.join(types, ["prev", "word"], "left").join(begun_words, ["prev", "word"], "left").fillna(0)
-    kinds = ends_known.select(
-        "prev", "word",
+    b = a.filter("not opened and not marked").withColumn("w", words)
+    b = b.withColumn("prev", F.coalesce(F.try_element_at("w", F.lit(-2)), F.lit("^"))).withColumn("word", F.element_at("w", -1))
+    pair = ["field", "prev", "word"]
+    inner = b.filter(F.size("w") > 1).select("field", F.posexplode("w").alias("k", "word"), "w")
+    inner = inner.filter(F.col("k") < F.size("w") - 1).select("field", F.coalesce(F.get("w", F.col("k") - 1), F.lit("^")).alias("prev"), "word")
+    types = inner.groupBy(*pair).agg(F.count(F.lit(1)).alias("going"))
+    last = b.groupBy(*pair).agg(F.count(F.lit(1)).alias("ending"))
+    both = types.unionByName(last.filter("ending > 2").select(*pair, F.col("ending").alias("going")))
+    begins = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.substr("word", F.lit(1), n))
+    longer = both.filter(F.length("word") > 1).select("field", "prev", F.explode(begins).alias("word"), "going").groupBy(*pair).agg(F.sum("going").alias("longer"))
+    seen = last.join(types, pair, "left").join(longer, pair, "left").fillna(0)
+    kind = (
         F.when(F.col("ending") > END_SHARE * (F.col("going") + F.col("longer") + F.col("ending")) + 2, "seen end")
-        .when(F.col("going") > 0, "goes on").when(F.col("longer") > 0, "inside word").otherwise("unknown").alias("kind"), "ending",
+        .when(F.col("going") > 0, "goes on").when(F.col("longer") > 0, "inside word").otherwise("unknown")
     )
-    b = split_join(b.drop("w", "p"), kinds, ["prev", "word"], heavy_keys(kinds, count, "ending"))
+    kinds = staged(seen.select(*pair, kind.alias("kind"), "ending"), "ends")
+    b = split_join(b.drop("w"), kinds, pair, heavy_keys(kinds, count, "ending"))
     c = a.filter("opened or marked").withColumn("kind", F.when(F.col("marked"), "marked").otherwise("opened"))
-    cols = ["id", "source", "len", "kind", "short", "link", "decimal"]
-    c = c.select(*cols).unionByName(b.select(*cols))
-    c = c.join(limits, ["source", "len"], "left")
-    odds = F.col("censored") / (1 - F.col("censored"))
-    odds = F.greatest(F.coalesce(odds, F.lit(0.0)), F.lit(BASE))
+    cols = ["field", "id", "source", "len", "kind", "short", "link", "decimal"]
+    c = c.select(*cols).unionByName(b.select(*cols)).join(limits, ["field", "source", "len"], "left")
+    odds = F.greatest(F.coalesce(F.col("censored") / (1 - F.col("censored")), F.lit(0.0)), F.lit(BASE))
     ratio = F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in RATIO.items()], F.lit(1.0))
     # A closing address is whole unless it stops short of the one the row mentions.
     ratio = F.when(F.col("link"), F.when(F.col("short"), 1000.0).otherwise(0.001)).otherwise(ratio)
     p = F.when(F.col("kind") == "marked", 1.0).when(F.col("decimal"), 0.9).otherwise(odds * ratio / (1 + odds * ratio))
-    return c.select("id", "source", F.col("kind").alias("evidence"), p.alias("posterior")).filter("posterior >= 0.5")
+    return c.select("field", "id", "source", F.col("kind").alias("evidence"), p.alias("posterior")).filter("posterior >= 0.5")
 
 
-def cut_rates(df: DataFrame, id_col: str, text: str, source: str, known: str | None = None) -> DataFrame:
-    """(source, values, cut, share): how often each source truncates."""
-    s = F.coalesce(df[source].cast("string"), F.lit("")).alias("source")
-    total = df.filter(F.trim(F.coalesce(df[text], F.lit(""))) != "").groupBy(s).agg(F.count(F.lit(1)).alias("values"))
-    cut = find_cut(df, id_col, text, source, known).groupBy("source").agg(F.count(F.lit(1)).alias("cut"))
-    out = total.join(cut, "source", "left").fillna(0, ["cut"])
-    return out.withColumn("share", F.col("cut") / F.col("values"))
+def cut_rates(rows: DataFrame) -> DataFrame:
+    """(field, source, values, cut, share): how often each source truncates each field."""
+    key = ["field", "source"]
+    total = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("values"))
+    cut = find_cut(rows).groupBy(*key).agg(F.count(F.lit(1)).alias("cut"))
+    return total.join(cut, key, "left").fillna(0, ["cut"]).withColumn("share", F.col("cut") / F.col("values"))
