@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quillmark.plans import general
+from quillmark.plans import general, relational, scalar
 
-_MODULES = [general]
+_MODULES = [general, relational, scalar]
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}
