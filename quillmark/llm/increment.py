@@ -7,7 +7,7 @@ distance is the size of the symmetric difference, and a similarity J bounds it b
 Method: segment index. For every size of the partner a word set is cut into a fixed number of segments, one more than the
 bounded distance, by a hash of the word (the segment number is its position); within the bound at least one segment is
 equal, so that each segment is stored once by (host, size, size of the partner, position) and a batch probes only these
-keys. Hits are verified on the whole sets. Addresses are the case of distance 0: one segment, the canonical text itself.
+keys; within one history each pair is probed from its smaller set. Hits are verified on the whole sets. Addresses are the case of distance 0: one segment, the canonical text itself.
 
 Whole histories are resolved without comparing copies: rows fall into classes of one address, host and word set, whose
 first batch decides; a class is accepted if no accepted class of an earlier batch is its neighbour, and rounds settle
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmark.operators.skew import heavy_keys, split_join
 from quillmark.runtime import staged
 
 SHARE = 0.8
@@ -47,29 +48,26 @@ def _bound(a: Column, b: Column, share: float) -> Column:
     return F.floor((a + b) * ((1 - share) / (1 + share)) + 1e-9).cast("int")
 
 
-def segment_keys(sets: DataFrame, share: float = SHARE) -> DataFrame:
-    """Index rows (key, cls, size, other) of sets(cls, host, words): a key for each size of a partner and each segment.
+def segment_keys(sets: DataFrame, share: float = SHARE, side: str = "all") -> DataFrame:
+    """Index rows (cls, key) of sets(cls, host, words): a key for each size of a partner and each segment.
 
-    The key is (host, smaller size, larger size, position, hash of the segment). An empty segment is stored as well.
+    The key is (host, smaller size, larger size, position, segment), hashed; an empty segment is stored as well. side:
+    "small" for partners at least as large, "large" for partners at most as large, "all" for both.
     """
     n = F.size("words")
-    low, high = F.ceil(n * share - 1e-9).cast("int"), F.floor(n / share + 1e-9).cast("int")
-    x = sets.select("cls", "host", "words", n.alias("size"), F.explode(F.sequence(low, high)).alias("other"))
-    x = x.withColumn("parts", _bound(F.col("size"), F.col("other"), share) + 1)
-    # One pass over the words: the words of each segment, in order, are hashed together.
-    where = F.transform("words", lambda w: F.struct(F.pmod(F.xxhash64(w, F.lit(7)), F.col("parts")).alias("p"), F.xxhash64(w).alias("h")))
-    x = x.withColumn("where", where)
-    seg = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.xxhash64(p, F.transform(F.filter("where", lambda w: w["p"] == p), lambda w: w["h"])))
-    x = x.select("cls", "size", "other", "host", F.posexplode(seg).alias("pos", "h"))
-    key = F.xxhash64("host", F.least("size", "other"), F.greatest("size", "other"), "pos", "h")
-    return x.select("cls", "size", "other", key.alias("key"))
-
-
-def similar_pairs(new: DataFrame, old: DataFrame, share: float = SHARE) -> DataFrame:
-    """(a, b) of the classes of new and of old (cls, host, words) with one host and similar word sets, whole pairs verified."""
-    i = segment_keys(new, share).select("key", F.col("cls").alias("a"), F.col("size").alias("sa"), F.col("other").alias("oa"))
-    j = segment_keys(old, share).select("key", F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("other").alias("ob"))
-    hits = i.join(j, "key").filter("sa = ob and sb = oa and a <> b").select("a", "b").distinct()
+    low = F.ceil(n * share - 1e-9).cast("int") if side != "small" else n
+    high = F.floor(n / share + 1e-9).cast("int") if side != "large" else n
+    others = F.sequence(low, high)
+    x = sets.select("cls", "host", n.alias("size"), others.alias("others"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    x = x.withColumn("parts", F.explode(F.array_distinct(F.transform("others", lambda o: _bound(F.col("size"), o, share) + 1))))
+    # Several sizes of a partner need the same number of segments: the words are dealt out once for them.
+    part = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.xxhash64("host", p, F.filter("hashes", lambda h: F.pmod(F.shiftright(h, 17), F.col("parts")) == p)))
+    x = x.select("cls", "size", "parts", part.alias("segments"), F.filter("others", lambda o: _bound(F.col("size"), o, share) + 1 == F.col("parts")).alias("others"))
+    x = x.select("cls", "size", "segments", F.explode("others").alias("other")).select("cls", "size", "other", F.explode("segments").alias("h"))
+    return x.select("cls", F.xxhash64(F.least("size", "other"), F.greatest("size", "other"), "h").alias("key"))
+
+
+def _verified(hits: DataFrame, new: DataFrame, old: DataFrame, share: float) -> DataFrame:
     hits = hits.join(new.select(F.col("cls").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa")), "a")
     hits = hits.join(old.select(F.col("cls").alias("b"), F.col("host").alias("hb"), F.col("words").alias("wb")), "b")
     common = F.size(F.array_intersect("wa", "wb"))
@@ -77,20 +75,35 @@ def similar_pairs(new: DataFrame, old: DataFrame, share: float = SHARE) -> DataF
     return hits.filter(ok).select("a", "b")
 
 
+def similar_pairs(new: DataFrame, index: DataFrame, old: DataFrame, share: float = SHARE) -> DataFrame:
+    """(a, b) of the classes of new and of old (cls, host, words) with one host and similar word sets; index: segment_keys of old."""
+    hits = segment_keys(new, share).withColumnRenamed("cls", "a").join(index.withColumnRenamed("cls", "b"), "key").filter("a <> b")
+    return _verified(hits.select("a", "b").distinct(), new, old, share)
+
+
+def similar_within(sets: DataFrame, share: float = SHARE) -> DataFrame:
+    """(a, b), a < b, of the similar classes of sets(cls, host, words): each pair is looked up once, from its smaller set."""
+    hosts = sets.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")  # a host with one class has no pair
+    sets = staged(split_join(sets, hosts, ["host"], heavy_keys(hosts, sets.count())).select("cls", "host", "words"), "sets")
+    hits = segment_keys(sets, share, "small").withColumnRenamed("cls", "x").join(segment_keys(sets, share, "large").withColumnRenamed("cls", "y"), "key").filter("x <> y")
+    return _verified(hits.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, sets, share)
+
+
 def deduplicate_history(rows: DataFrame, share: float = SHARE) -> DataFrame:
     """(id, repeats): every row that repeats an accepted row, over all batches of rows(id, batch, addr, host, words)."""
     rows = rows.filter("id is not null and batch is not null")
     rows = rows.withColumn("addr", F.when(F.col("addr") != "", F.col("addr"))).withColumn("words", F.when((F.col("host") != "") & (F.size("words") > 0), F.col("words")))
     dcls = F.when(F.col("words").isNotNull(), F.xxhash64("host", "words"))
     rows = rows.withColumn("d", dcls).withColumn("node", F.xxhash64(F.coalesce("addr", F.lit("\x01")), F.coalesce("d", F.xxhash64(F.lit("row"), "id"))))
-    rows = staged(rows.groupBy("id").agg(*[F.min_by(c, "batch").alias(c) for c in ("addr", "host", "words", "d", "node")], F.min("batch").alias("batch")), "rows")
+    rows = staged(rows, "rows")
+    sets = rows.filter("d is not null").groupBy(F.col("d").alias("cls")).agg(F.first("host").alias("host"), F.first("words").alias("words"))
+    sets = staged(sets, "sets")
+    rows = rows.groupBy("id").agg(F.min(F.struct("batch", "node", "addr", "d")).alias("r")).select("id", "r.*")
     # A class of rows: its first batch, and the smallest id in it. Copies are never compared with each other.
     nodes = rows.groupBy("node").agg(F.min(F.struct("batch", "id")).alias("f"), F.first("addr").alias("addr"), F.first("d").alias("d"))
     nodes = staged(nodes.select("node", F.col("f.batch").alias("batch"), F.col("f.id").alias("id"), "addr", "d"), "nodes")
-    sets = rows.filter("d is not null").groupBy(F.col("d").alias("cls")).agg(F.first("host").alias("host"), F.first("words").alias("words"))
-    sets = staged(sets, "sets")
-    links = similar_pairs(sets, sets, share)
-    links = staged(links.unionByName(sets.select(F.col("cls").alias("a"), F.col("cls").alias("b"))), "links")
+    pairs = staged(similar_within(sets, share), "pairs")
+    links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(sets.select(F.col("cls").alias("a"), F.col("cls").alias("b")))
 
     # State of the rounds: accepted and repeated classes. A hub (address or word set) knows its earliest accepted class and
     # its earliest open one: a class is settled once no open neighbour is earlier than it.
@@ -137,12 +150,7 @@ def deduplicate_batch(batch: DataFrame, accepted: DataFrame, index: DataFrame |
     """
     old = accepted.filter("words is not null and host <> '' and size(words) > 0").select(F.col("id").alias("cls"), "host", "words")
     new = batch.filter("words is not null and host <> '' and size(words) > 0").select(F.col("id").alias("cls"), "host", "words")
-    i = segment_keys(new, share).select("key", F.col("cls").alias("a"), F.col("size").alias("sa"), F.col("other").alias("oa"))
-    j = (index if index is not None else segment_keys(old, share)).select("key", F.col("cls").alias("b"), F.col("size").alias("sb"), F.col("other").alias("ob"))
-    hits = i.join(j, "key").filter("sa = ob and sb = oa").select("a", "b").distinct()
-    hits = hits.join(new.select(F.col("cls").alias("a"), "host", F.col("words").alias("wa")), "a").join(old.select(F.col("cls").alias("b"), F.col("host").alias("hb"), F.col("words").alias("wb")), "b")
-    common = F.size(F.array_intersect("wa", "wb"))
-    by_set = hits.filter((F.col("host") == F.col("hb")) & (common >= share * (F.size("wa") + F.size("wb") - common) - 1e-9)).select(F.col("a").alias("id"), F.col("b").alias("other"))
+    by_set = similar_pairs(new, index if index is not None else segment_keys(old, share), old, share).select(F.col("a").alias("id"), F.col("b").alias("other"))
     firsts = accepted.filter("addr <> ''").groupBy("addr").agg(F.min(F.struct("batch", "id")).alias("p"))
     by_addr = batch.filter("addr <> ''").select("id", "addr").join(firsts, "addr").select("id", "p")
     by_set = by_set.join(accepted.select(F.col("id").alias("other"), F.struct("batch", "id").alias("p")), "other").select("id", "p")
