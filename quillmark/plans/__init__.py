@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quillmark.plans import general, mining, relational, scalar
+from quillmark.plans import general, mining, models, relational, scalar
 
-_MODULES = [general, mining, relational, scalar]
+_MODULES = [general, mining, models, relational, scalar]
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}
