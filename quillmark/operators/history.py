@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmark.operators.skew import numbered
+
 
 def down_runs(log: DataFrame, key: str, order: list[Column], up: Column, least: int = 3) -> DataFrame:
     """(key, run): newest records that failed without a success between, where there are at least that many.
@@ -35,7 +37,7 @@ def first_of(df: DataFrame, keys: list[str], order: list[str], columns: list[str
 
 def round_robin(df: DataFrame, key: str, id_col: str) -> DataFrame:
     """df with turn: the place of a row within its key, so that ordering by turn deals the keys out one by one."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy(id_col)))
+    return numbered(df, key, id_col, "turn")
 
 
 def inferred(df: DataFrame, base: str, id_col: str, value: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmark.runtime import staged
+
 #: A key is heavy if it has more than this share of all rows: at most 1 / share keys are, which bounds every broadcast of heavy keys.
 HEAVY_SHARE = 0.001
 
@@ -23,3 +25,18 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], heavy: DataFram
     hot = F.broadcast(heavy.select(*on))
     light = left.join(hot, on, "left_anti").join(right, on)
     return light.unionByName(left.join(F.broadcast(right.join(hot, on, "left_semi")), on))
+
+
+def numbered(df: DataFrame, key: str, order: str, number: str) -> DataFrame:
+    """df with the place (from 1) of each row within its key, a key of any size: row_number() without a key's rows in one task.
+
+    Rows are sorted by range on (key, order); a row's place is its place in its partition's stretch of the key plus the
+    sizes of the stretches before it. order must be unique within a key.
+    """
+    r = df.repartitionByRange(key, order).sortWithinPartitions(key, order).withColumn("_m", F.monotonically_increasing_id())
+    r = staged(r, "numbered").withColumn("_p", F.shiftright("_m", 33))
+    part = r.groupBy("_p", F.col(key).alias("_k")).agg(F.min("_m").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = part.select(F.col("_p").alias("_q"), "_k", "_first", before.alias("_before"))
+    j = r.join(part, (F.col("_p") == F.col("_q")) & F.col(key).eqNullSafe(F.col("_k")))
+    return j.withColumn(number, (F.col("_m") - F.col("_first") + F.col("_before") + 1).cast("int")).drop("_m", "_p", "_q", "_k", "_first", "_before")

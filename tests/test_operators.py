@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmark.functions import dates, text, url, vectors
-from quillmark.operators import history, lookup, packed, skew, timestamps
+from quillmark.operators import history, lookup, packed, search, skew, timestamps
 
 DATA = "/root/testdata/sf0.001"
 
@@ -144,3 +144,31 @@ def test_day_order_is_learned_or_marked(spark):
     df = spark.createDataFrame([*sure, (1000, "03/04/2010", "new"), (1001, "03/04/2010", "other"), (1002, "05/05/2010", "other")], "id int, value string, source string")
     got = {r.id: (r.norm, r.status) for r in timestamps.normalise(df, _locale(spark), ["id"]).filter("id >= 1000").collect()}
     assert got == {1000: ("2010-04-03", "read"), 1001: (None, "ambiguous"), 1002: ("2010-05-05", "read")}
+
+
+def test_numbered_equals_row_number(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 11).cast("string")).alias("k"))
+    got = sorted((r.k or "", r.n) for r in skew.numbered(df, "k", "id", "n").collect())
+    sizes = {r.k or "": r["count"] for r in df.groupBy("k").count().collect()}
+    assert got == sorted((k, i + 1) for k, n in sizes.items() for i in range(n))
+
+
+@pytest.mark.parametrize(
+    ("link", "page", "expected"),
+    [("x.html", "http://a.org/d/p.html", "http://a.org/d/x.html"), ("/x", "http://a.org/d/p", "http://a.org/x"), ("http://b.org", "http://a.org", "http://b.org"), ("//c.org/x", "https://a.org/", "https://c.org/x"), ("x", "http://a.org", "http://a.org/x")],
+)
+def test_resolve(spark, link, page, expected):
+    assert one(spark, url.resolve(F.col("a"), F.col("b")), a=link, b=page) == expected
+
+
+def test_redirects(spark):
+    assert one(spark, url.redirects_away(F.col("a"), F.col("b")), a="http://www.a.org/", b="https://a.org") is False
+    assert one(spark, url.redirects_away(F.col("a"), F.col("b")), a="http://a.org", b="http://b.org") is True
+
+
+def test_uniqueness_and_failures(spark):
+    search.assert_unique(spark.range(3), ["id"])
+    with pytest.raises(ValueError, match="isn't unique"):
+        search.assert_unique(spark.range(3).union(spark.range(1)), ["id"])
+    assert one(spark, search.temporary_failure(F.col("a")), a="Peer not authenticated") is True
+    assert one(spark, search.temporary_failure(F.col("a")), a="404 Not Found") is False
