@@ -271,7 +271,8 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for t in pdf["text"]:
             pairs_of(t, c)
-    yield pd.DataFrame({"pair": list(c), "n": list(c.values())})
+    if c:  # an empty column would have no type
+        yield pd.DataFrame({"pair": list(c), "n": list(c.values())})
 
 
 def character_model(texts: DataFrame) -> dict[str, int]:
@@ -294,7 +295,8 @@ def _corrections(pairs: dict[str, int]):
                     pairs_of(t, less)
                     pairs_of(d[2], more)
         more.subtract(less)
-        yield pd.DataFrame({"pair": list(more), "n": list(more.values())})
+        if more:
+            yield pd.DataFrame({"pair": list(more), "n": list(more.values())})
 
     return run
 
