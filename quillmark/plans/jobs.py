@@ -202,11 +202,11 @@ def sr05_keyed_lookup(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "rd_paper").select("id", "pubmed_id").join(r, "pubmed_id").select("id", "ref_id")
 
 
-@query("""WITH l AS (SELECT doc_id, arg_max(status, (batch_id, id)) AS label FROM (SELECT c.id, c.status, c.batch_id, u.doc_id FROM rd_resource_candidate c JOIN rd_urls u ON c.url_id = u.id WHERE u.doc_id IS NOT NULL) GROUP BY 1)
+@query("""WITH l AS (SELECT doc_id, arg_max(status, (batch_id, id)) AS label FROM (SELECT c.id, c.status, c.batch_id, u.doc_id FROM rd_resource_candidate c JOIN rd_urls u ON c.url_id = u.id WHERE u.doc_id IS NOT NULL AND c.status IS NOT NULL) GROUP BY 1)
 SELECT u.id, l.label FROM rd_urls u JOIN l USING (doc_id)""")
 def pi14_labels(spark: SparkSession, d: str) -> DataFrame:
     """The newest label given to a mention of a paper, for all mentions of the paper."""
-    c = table(spark, d, "rd_resource_candidate").select("id", "status", "batch_id", "url_id")
+    c = table(spark, d, "rd_resource_candidate").filter("status is not null").select("id", "status", "batch_id", "url_id")
     u = _urls(spark, d, F.col("id").alias("url_id"), "doc_id").filter("doc_id is not null")
     label = history.latest(c.join(u, "url_id"), "doc_id", ["batch_id", "id"], [F.col("status").alias("label")])
     return _urls(spark, d, "id", "doc_id").join(label, "doc_id").select("id", "label")
