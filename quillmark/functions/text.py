@@ -127,12 +127,21 @@ def span_categories(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(SPAN_PATTERN), F.lit(1))
 
 
+def _runs(c: Column, k: int) -> Column:
+    """Runs of k words in lower case as structs; the words aren't looked at again for each run."""
+    words = plain_words(c)
+    m = F.greatest(F.size(words) - (k - 1), F.lit(0))
+    return F.arrays_zip(*[F.slice(words, F.lit(j), m) for j in range(1, k + 1)])
+
+
 def shingles(c: Column, k: int) -> Column:
     """Distinct runs of k words in lower case, each word followed by a bar."""
-    words = plain_words(c)
-    n = F.size(words)
-    runs = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.concat(F.array_join(F.slice(words, i, k), "|"), F.lit("|")))
-    return F.when(n >= k, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.transform(_runs(c, k), lambda s: F.concat(*[x for j in range(k) for x in (s[str(j)], F.lit("|"))])))
+
+
+def shingle_hashes(c: Column, k: int) -> Column:
+    """shingles as 64-bit hashes, for sets of which only sizes count: sets of numbers are hashed, those of strings aren't."""
+    return F.array_distinct(F.transform(_runs(c, k), lambda s: F.xxhash64(s)))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -53,5 +53,5 @@ def versions(docs: DataFrame, group: str, order: list[str], content: str) -> Dat
 def drift(pairs: DataFrame, k: int = 5) -> DataFrame:
     """Jaccard similarity and containment (the larger of both directions) of the word shingles of first and last."""
     a, b = F.col("_a"), F.col("_b")
-    x = pairs.withColumn("_a", text.shingles(F.col("first"), k)).withColumn("_b", text.shingles(F.col("last"), k))
+    x = pairs.withColumn("_a", text.shingle_hashes(F.col("first"), k)).withColumn("_b", text.shingle_hashes(F.col("last"), k))
     return x.select(*[c for c in pairs.columns if c not in ("first", "last")], text.jaccard(a, b).alias("similarity"), F.greatest(text.containment(a, b), text.containment(b, a)).alias("containment"))
