@@ -51,11 +51,15 @@ def quality(df: DataFrame, label: str = "label", prediction: str = "prediction")
 
 
 def train_topics(df: DataFrame, content: str, topics: int = 100, rounds: int = 20, seed: int = 1):
-    """(vectoriser, model): latent Dirichlet allocation over words without stop words."""
+    """(vectoriser, model): latent Dirichlet allocation over words without stop words; every text counts in every round.
+
+    Fitted by expectation-maximisation: the online optimizer draws its rows with replacement, so that even at a rate of 1 it
+    leaves out a third of them a round. Its priors are one above those of a Gibbs sampler, here 0.01 a topic and 0.005 a word.
+    """
     x = df.filter(F.col(content).isNotNull()).withColumn("words", text.tokens(F.col(content)))
     cv = CountVectorizer(inputCol="words", outputCol="features", minDF=2, vocabSize=VOCABULARY).fit(x)
-    lda = LDA(k=topics, maxIter=rounds, seed=seed, docConcentration=[0.01 + 1.0 / topics], topicConcentration=0.005 + 1.0 / topics, optimizer="online")
-    return cv, lda.fit(cv.transform(x))
+    lda = LDA(k=topics, maxIter=rounds, seed=seed, docConcentration=[1.01], topicConcentration=1.005, optimizer="em")
+    return cv, lda.fit(cv.transform(x).select("features"))
 
 
 def topics_of(model, df: DataFrame, content: str) -> DataFrame:
@@ -65,6 +69,13 @@ def topics_of(model, df: DataFrame, content: str) -> DataFrame:
     return x.withColumn("topics", vector_to_array("topicDistribution")).drop("words", "features", "topicDistribution")
 
 
+def document_words(model, df: DataFrame, id_col: str, content: str, most: int = 100) -> DataFrame:
+    """(id, word): the words of each text that are among the heaviest of a topic the text has a share in, each once."""
+    heavy = topic_words(model, most).groupBy("word").agg(F.collect_set("topic").alias("of"))
+    x = topics_of(model, df.select(id_col, content), content).select(F.col(id_col).alias("id"), "topics", F.explode(F.array_distinct(text.tokens(F.col(content)))).alias("word"))
+    return x.join(heavy, "word").filter(F.exists("of", lambda t: F.get("topics", t) > 0)).select("id", "word")
+
+
 def topic_words(model, most: int = 10) -> DataFrame:
     """(topic, place, word, weight): the heaviest words of each topic; the vocabulary is bounded."""
     cv, lda = model

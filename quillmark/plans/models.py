@@ -63,10 +63,18 @@ def ml01_classifier(spark: SparkSession, d: str) -> DataFrame:
     return models.quality(out.withColumn("label", (F.col("class") == "good").cast("double")))
 
 
+def _described(spark, d):
+    return table(spark, d, "registry").filter("description is not null").select("id", "description")
+
+
 def ml02_topics(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "registry").filter("description is not null").select("id", "description")
-    return models.topic_words(models.train_topics(x, "description", topics=5, rounds=5), 10)
+    return models.topic_words(models.train_topics(_described(spark, d), "description"), 10)
+
+
+def ml03_document_words(spark: SparkSession, d: str) -> DataFrame:
+    x = _described(spark, d)
+    return models.document_words(models.train_topics(x, "description"), x, "id", "description")
 
 
-QUERIES = {f.__name__: f for f in (ac01_acronyms, ac02_clusters, ac03_statistics, ud17_weighted_distance, ht01_pages, ht02_descriptions, ml01_classifier, ml02_topics)}
+QUERIES = {f.__name__: f for f in (ac01_acronyms, ac02_clusters, ac03_statistics, ud17_weighted_distance, ht01_pages, ht02_descriptions, ml01_classifier, ml02_topics, ml03_document_words)}
 SQL: dict[str, str] = {}

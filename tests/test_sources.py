@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmark.operators import acronyms, models
+from quillmark.plans import QUERIES
+from quillmark.runtime import table
 from quillmark.sources import articles, lines, pages, publishers
 from quillmark.streaming import validation
 
@@ -105,6 +107,32 @@ def test_classifier_on_held_out_rows(spark):
     assert models.quality(out).first().f1 > 0.95
 
 
+def test_topics_read_every_text(spark):
+    common = [(i, "alpha beta gamma" if i % 2 else "delta epsilon zeta") for i in range(60)]
+    rare = [(100 + i, f"rarest{'abcdefghij'[i // 2]} lonely{'abcdefghij'[i // 2]}") for i in range(20)]
+    df = spark.createDataFrame([*common, *rare, (900, None), (901, "")], "id long, t string")
+    model = models.train_topics(df, "t", topics=4, rounds=3)
+    # Without a text's words in the fit, their weight would be the same in all topics.
+    weights = {}
+    for r in models.topic_words(model, 26).collect():
+        weights.setdefault(r.word, []).append(r.weight)
+    assert len(weights) == 26 and all(max(w) > 1.5 * min(w) for w in weights.values())
+    first = [tuple(r) for r in models.topic_words(model, 5).collect()]
+    assert len(first) == 20
+    words = {}
+    for r in models.document_words(model, df, "id", "t").collect():
+        words.setdefault(r.id, []).append(r.word)
+    assert sorted(words[0]) == ["delta", "epsilon", "zeta"] and sorted(words[101]) == ["lonelya", "raresta"] and not {900, 901} & set(words)
+
+
+def test_topics_are_registered_in_full(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "train_topics", lambda df, content, topics=100, rounds=20, seed=1: seen.append((df.count(), topics, rounds)))
+    monkeypatch.setattr(models, "topic_words", lambda model, most: None)
+    QUERIES["ml02_topics"](spark, "/root/testdata/sf0.001")
+    assert seen == [(table(spark, "/root/testdata/sf0.001", "registry").filter("description is not null").count(), 100, 20)]
+
+
 def test_stream_of_checks(spark, tmp_path):
     t0 = dt.datetime(2014, 1, 1)
     rows = [(1, k, t0 + dt.timedelta(hours=k), k == 0) for k in range(5)] + [(2, 10 + k, t0 + dt.timedelta(hours=k), k == 4) for k in range(5)]
