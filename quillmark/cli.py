@@ -46,7 +46,7 @@ def main(args: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"quillmark {a.job}").getOrCreate()
     if a.job == "extract-urls":
-        out = articles.link_mentions(articles.read_articles(spark, a.articles, a.year))
+        out = articles.url_mentions(articles.read_articles(spark, a.articles, a.year))
     else:
         out = QUERIES[JOBS[a.job][0]](spark, a.data)
     out.write.mode("overwrite").parquet(a.out)

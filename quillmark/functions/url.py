@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # What an address is in running text, substrings and media types of addresses that are no resource.
 URL_PATTERN = r"((([A-Za-z]{3,9}:(?://)?)(?:[-;:&=\+\$,\w]+@)?[A-Za-z0-9.-]+|(?:www.|[-;:&=\+\$,\w]+@)[A-Za-z0-9.-]+)((?:/[\+~%/.\w_-]*)?\??(?:[-\+=&;%@.\w_]*)#?(?:[\w]*))?)"
 MENTION_PATTERN = r'(http.+?)((\.\s)|"|<|\s|\(|\)|\[|\])'
+# The same at the end of a text as well, and hosts of three labels without a scheme.
+TEXT_PATTERN = r'(http.+?)(?:\.\s|"|<|\s|\(|\)|\[|\]|\.?$)'
+BARE_PATTERN = r'\s(\w+?\.\w+?\.\w{3})(?:\.\s|"|<|\s|\(|\)|\[|\]|\.?$)'
 BAD_PARTS = ["www.w3.org", "creativecommons", "dx.doi", "www.elsevier.com"]
 MEDIA_PATTERN = r"(?i)zip|rar|gz|jpg|jpeg|gif|bz2|pdf"
 PAGE_MEDIA_PATTERN = r"(?i)\.(pdf|jpg|gif|bmp|ppt|doc)$"
@@ -47,10 +50,16 @@ def first_url(c: Column) -> Column:
 
 
 def mentions(c: Column) -> Column:
-    """All addresses in a running text, as an array."""
+    """The addresses in a running text that something ends, as an array; one that ends with the text isn't among them (see text_addresses)."""
     return F.regexp_extract_all(c, F.lit(MENTION_PATTERN), F.lit(1))
 
 
+def text_addresses(c: Column) -> Column:
+    """All addresses in a running text in extraction form, as an array: those with a scheme, then bare hosts; the text's end ends one, too."""
+    found = [F.regexp_extract_all(c, F.lit(p), F.lit(1)) for p in (TEXT_PATTERN, BARE_PATTERN)]
+    return F.transform(F.concat(*found), extraction_form)
+
+
 def host(c: Column) -> Column:
     """Host in lower case, or null."""
     h = F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))

@@ -11,12 +11,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.functions import url
+
 SCHEMA = (
     "pubmed_id string, pmc_id string, doi string, title string, journal_title string, paragraphs array<string>, section_titles array<string>, methods string, "
     "links array<struct<url:string,context:string>>"
 )
 #: Parts of an article that aren't its text.
 _LEFT_OUT = {"author-notes", "permissions", "ref-list", "xref"}
+#: Elements whose end also ends an address that they hold.
+_ADDRESS = {"ext-link", "uri"}
 
 
 class _Article(ContentHandler):
@@ -25,9 +29,15 @@ class _Article(ContentHandler):
         self._stack, self._out, self._id, self._p, self._waiting, self._cell = [], 0, None, None, [], None
         self._title: list[str] | None = None
         self._eligible = 0
+        self._from = 0
+
+    def _parts(self) -> list[str]:
+        return self._p if self._p is not None else self._cell if self._cell is not None else []
 
     def startElement(self, name, attrs):
         self._stack.append(name)
+        if name in _ADDRESS:
+            self._from = len(self._parts())
         if name in _LEFT_OUT:
             self._out += 1
         if name == "article-id":
@@ -35,7 +45,8 @@ class _Article(ContentHandler):
         elif name in ("article-title", "journal-title", "title"):
             self._title = []
         elif name == "p" and self._p is None:
-            self._p, self._waiting = [], []
+            self._end_links()
+            self._p = []
         elif name in ("td", "th"):
             self._cell = []
         elif name == "sec" and self._eligible:
@@ -59,6 +70,8 @@ class _Article(ContentHandler):
         self._stack.pop()
         if name in _LEFT_OUT:
             self._out -= 1
+        if name in _ADDRESS and "http" in "".join(self._parts()[self._from :]):
+            self._parts().append(" ")
         if name == "article-id" and self._id is not None:
             self.ids.setdefault(self._id[0], self._id[1].strip())
             self._id = None
@@ -83,10 +96,16 @@ class _Article(ContentHandler):
             self._end_text(self._cell)
             self._cell = None
 
-    def _end_text(self, parts):
-        text = " ".join("".join(parts).split())
+    def _end_links(self, text=""):
         self.links += [{"url": u, "context": text or u} for u in self._waiting if u]
         self._waiting = []
+
+    def endDocument(self):
+        self._end_links()
+
+    def _end_text(self, parts):
+        text = " ".join("".join(parts).split())
+        self._end_links(text)
         if text:
             text = text if text[-1] in ".?!:;" else text + "."
             self.paragraphs.append(text)
@@ -104,7 +123,7 @@ def parse(content: bytes | None) -> dict:
     try:
         parser.parse(io.BytesIO(content or b""))
     except xml.sax.SAXException:
-        pass
+        a.endDocument()
     return {
         "pubmed_id": a.ids.get("pmid"), "pmc_id": a.ids.get("pmc"), "doi": a.ids.get("doi"), "title": a.title or None, "journal_title": a.journal or None, "paragraphs": a.paragraphs,
         "section_titles": a.sections, "methods": "\n".join(a.methods) or None, "links": a.links,
@@ -135,3 +154,17 @@ def link_mentions(articles: DataFrame) -> DataFrame:
     x = articles.select("pubmed_id", "path", F.posexplode("links").alias("pos", "link"))
     g = x.groupBy("pubmed_id", "path", F.col("link.url").alias("url")).agg(F.min_by("link.context", "pos").alias("context"))
     return g.filter("url <> ''")
+
+
+def url_mentions(articles: DataFrame) -> DataFrame:
+    """(pubmed_id, path, url, context) of all addresses of an article in extraction form, each once: those in the text of its paragraphs, then its links.
+
+    The context is the first paragraph that holds the address, else that of the link. Addresses that are no resource are left
+    out; bare hosts are among those, as they have no scheme.
+    """
+    typed = articles.select("pubmed_id", "path", F.lit(0).alias("kind"), F.posexplode("paragraphs").alias("pos", "context"))
+    typed = typed.select("pubmed_id", "path", "kind", "pos", F.explode(url.text_addresses(F.col("context"))).alias("url"), "context")
+    links = articles.select("pubmed_id", "path", F.lit(1).alias("kind"), F.posexplode("links").alias("pos", "link"))
+    links = links.select("pubmed_id", "path", "kind", "pos", url.extraction_form(F.col("link.url")).alias("url"), "link.context")
+    good = typed.unionByName(links).filter(~url.is_bad(F.col("url")))
+    return good.groupBy("pubmed_id", "path", "url").agg(F.min_by("context", F.struct("kind", "pos")).alias("context"))

@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from quillmark import cli
+from quillmark.functions import url
 from quillmark.operators import acronyms, models
 from quillmark.plans import QUERIES
 from quillmark.runtime import table
@@ -37,6 +39,25 @@ def test_read_articles(spark, tmp_path):
     assert articles.read_articles(spark, str(tmp_path), year=2012, done=done).count() == 0
 
 
+TYPED = """<article xmlns:xlink="http://www.w3.org/1999/xlink"><front><article-id pub-id-type="pmid">7</article-id></front><body><p>Get it at http://typed.example/a/. Or (http://typed.example/b) or http://typed.example/i.jpg or www.bare.org here</p>
+<p>Again http://typed.example/b and <ext-link xlink:href="http://typed.example/b/">it</ext-link> <ext-link xlink:href="http://dx.doi.org/1">doi</ext-link></p><title><ext-link xlink:href="http://between.example/"/></title>
+<p>Linked <ext-link xlink:href="http://typed.example/c">http://typed.example/c</ext-link>, too. Ends with http://end.example/x</p></body><back><ext-link xlink:href="http://late.example/"/></back></article>"""
+
+
+def test_url_mentions_of_text_and_links(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.nxml").write_text(TYPED)
+    cli.main(["extract-urls", "--articles", str(tmp_path / "in"), "--out", str(tmp_path / "out")])
+    got = {r.url: r.context[:5] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"http://typed.example/a": "Get i", "http://typed.example/b": "Get i", "http://typed.example/c": "Linke", "http://end.example/x": "Linke", "http://between.example": "http:", "http://late.example": "http:"}
+    text = spark.createDataFrame([("See www.bare.org and http://a.example/x",)], "t string")
+    assert text.select(url.text_addresses(F.col("t"))).first()[0] == ["http://a.example/x", "www.bare.org"]
+
+
+def test_links_of_a_broken_article():
+    assert articles.parse(b'<article xmlns:xlink="x"><p>cut <ext-link xlink:href="http://a.example"/>')["links"] == [{"url": "http://a.example", "context": "http://a.example"}]
+
+
 def test_page():
     p = pages.parse('<title>T</title><script>x</script><meta http-equiv="refresh" content="0; url=http://n.example/"><p>It is a database of cells<li>one<td>cell</td><a href="/about.html">About us</a><frame src="f.html">')
     assert p["title"] == "T" and p["about"] == "/about.html" and p["refresh"] == "http://n.example/" and p["frames"] == ["f.html"]
