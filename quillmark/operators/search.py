@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words a name may have to be annotated; longer ones are titles, not names.
-LONGEST = 16
-
 
 def nearest(queries: DataFrame, weights: DataFrame) -> DataFrame:
     """(query, doc, cosine): the most similar document of each query; of equal ones the smallest id. Both are (doc, term, weight).
@@ -61,12 +58,13 @@ def word_list(c: Column) -> Column:
 def annotate(docs: DataFrame, id_col: str, content: str, names: DataFrame) -> DataFrame:
     """(id, key, pos): every place (word number from 0) where a name(name, key) stands in a text, word by word, ignoring case.
 
-    A name is looked up by its first word; the words that follow are compared.
+    A name is looked up by its first word; the words that follow are compared, whatever the length of the longest name.
     """
-    n = names.select("key", word_list(F.col("name")).alias("nw")).filter(F.size("nw").between(1, LONGEST)).select("key", "nw", F.get("nw", F.lit(0)).alias("w"), F.size("nw").alias("k"))
+    n = names.select("key", word_list(F.col("name")).alias("nw")).filter(F.size("nw") > 0).select("key", "nw", F.get("nw", F.lit(0)).alias("w"), F.size("nw").alias("k"))
     d = docs.select(docs[id_col].alias("id"), word_list(docs[content]).alias("dw"))
+    longest = n.agg(F.max("k")).first()[0] or 0
     # Each word goes out with the few words after it, not with the whole text.
-    d = d.select("id", F.posexplode("dw").alias("pos", "w"), "dw").select("id", "pos", "w", F.slice("dw", F.col("pos") + 1, F.lit(LONGEST)).alias("next"))
+    d = d.select("id", F.posexplode("dw").alias("pos", "w"), "dw").select("id", "pos", "w", F.slice("dw", F.col("pos") + 1, F.lit(longest)).alias("next"))
     return d.join(n, "w").filter((F.slice("next", F.lit(1), F.col("k")) == F.col("nw"))).select("id", "key", "pos")
 
 

@@ -63,6 +63,15 @@ def tx16_annotations(spark: SparkSession, d: str) -> DataFrame:
     return search.annotate(table(spark, d, "documents").filter("text is not null"), "doc_id", "text", names)
 
 
+@query(f"""WITH n AS (SELECT id AS key, w AS nw, w[1] AS w, len(w) AS k FROM (SELECT min(id) AS id, {_W.format('resource_name')} AS w FROM registry WHERE resource_name IS NOT NULL GROUP BY resource_name) WHERE len(w) > 0),
+d AS (SELECT doc_id, dw, unnest(range(len(dw))) AS pos FROM (SELECT doc_id, {_W.format('text')} AS dw FROM documents WHERE text IS NOT NULL))
+SELECT doc_id AS id, key, pos FROM d JOIN n ON d.dw[pos + 1] = n.w WHERE d.dw[pos + 1 : pos + k] = nw""")
+def tx18_name_annotations(spark: SparkSession, d: str) -> DataFrame:
+    """The gazetteer annotator over all names of the registry; tx16_annotations is the one over its types."""
+    names = table(spark, d, "registry").filter("resource_name is not null").groupBy(F.col("resource_name").alias("name")).agg(F.min("id").alias("key"))
+    return search.annotate(table(spark, d, "documents").filter("text is not null"), "doc_id", "text", names)
+
+
 @query("SELECT doc_id, len(list_filter(list_transform(regexp_extract_all(text, '([^.?!]+[.?!]*)', 1), lambda s: trim(s, ' ')), lambda s: s <> '')) AS sentences FROM documents WHERE text IS NOT NULL")
 def tx17_sentences(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").filter("text is not null").select("doc_id", F.size(search.sentences(F.col("text"))).alias("sentences"))

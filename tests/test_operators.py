@@ -172,3 +172,11 @@ def test_uniqueness_and_failures(spark):
         search.assert_unique(spark.range(3).union(spark.range(1)), ["id"])
     assert one(spark, search.temporary_failure(F.col("a")), a="Peer not authenticated") is True
     assert one(spark, search.temporary_failure(F.col("a")), a="404 Not Found") is False
+
+
+def test_annotations_of_names_of_any_length(spark):
+    long = " ".join(f"w{k}" for k in range(40))
+    names = spark.createDataFrame([("Cell Atlas", 1), (long, 2), ("Cell", 3), ("...", 4)], "name string, key int")
+    docs = spark.createDataFrame([(1, "The cell atlas; a CELL"), (2, f"x {long.upper()} y"), (3, long[:-3]), (4, None)], "id int, t string")
+    assert sorted(map(tuple, search.annotate(docs, "id", "t", names).collect())) == [(1, 1, 1), (1, 3, 1), (1, 3, 4), (2, 2, 1)]
+    assert search.annotate(docs, "id", "t", names.filter("key = 4")).count() == 0
