@@ -96,26 +96,15 @@ class Model:
         self._one: dict[str, float] = {}
         self._two: dict[str, float] = {}
         self.runs: dict[str, list[float] | tuple] = {}
-        self._words: dict[str, tuple[bool, float]] = {}
         self._gains: dict[str, list[float]] = {}
 
-    def swaps(self, w: str) -> tuple[bool, float]:
-        """Whether the word is rare as it stands, and its log likelihood."""
-        v = self._words.get(w)
-        if v is None:
-            if len(self._words) > 200_000:
-                self._words.clear()
-            p = self.word(w)
-            v = self._words[w] = (p < -8.0 * (len(w) + 1), p)
-        return v
-
     def gains(self, w: str) -> list[float]:
         """What each chain of SWAPS gains in log likelihood on the word."""
         v = self._gains.get(w)
         if v is None:
             if len(self._gains) > 200_000:
                 self._gains.clear()
-            p = self.swaps(w)[1]
+            p = self.word(w)
             v = self._gains[w] = [self.word(w.translate(t)) - p if all(ord(ch) < 128 or ord(ch) in t for ch in w) else -50.0 for t in _TABLES]
         return v
 
@@ -154,7 +143,8 @@ def pairs_of(text: str, into: Counter) -> None:
 
 
 _RUN = re.compile(r"[^\x00-\x7f]+")
-_WORD = re.compile(r"[^\W\d_]*[^\x00-\x7f\W\d_][^\W\d_]*")
+#: A letter may be read as a sign, so a word takes in all that isn't ASCII.
+_WORD = re.compile(r"[A-Za-z]*[^\x00-\x7f][A-Za-z\x80-\U0010ffff]*")
 
 
 def _put_right(text: str, codec: str, model: Model) -> tuple[float, str]:
@@ -197,12 +187,11 @@ def _utf8_layer(text: str, model: Model) -> tuple[float, str]:
 
 
 def _swap_layer(text: str, model: Model) -> tuple[float, str, str]:
-    """(gain, chain, text) of the best chain of the second family: words under it and under none, by Viterbi with a switch cost."""
+    """(gain, chain, text) of the best chain of the second family: words under it and under none, by Viterbi with a switch cost.
+
+    Any gain is evidence, even that of a single word; the source decides whether it holds.
+    """
     words = list(_WORD.finditer(text))
-    known = [model.swaps(w.group()) for w in words]
-    # Only records with words that are rare as they stand can be damaged in this way.
-    if not any(rare for rare, _ in known):
-        return 0.0, "", text
     scores = [model.gains(w.group()) for w in words]
     best: tuple[float, str, str] = (0.0, "", text)
     for n, (wrote, read) in enumerate(SWAPS):
@@ -224,8 +213,7 @@ def _swap_layer(text: str, model: Model) -> tuple[float, str, str]:
             state = c if state else a
         states.reverse()
         hit = [k for k, s in enumerate(states) if s]
-        latin = wrote in ("cp1252", "mac_roman", "cp437", "cp850")
-        if not hit or (latin and (len(hit) < 3 or max(stay, turned) < 40)):
+        if not hit:
             continue
         out, at, k = [], 0, 0
         while k < len(hit):

@@ -206,3 +206,11 @@ def test_garbled_text(spark):
     assert got == {i: o for i, (_, o) in broken.items()}
     assert mojibake.repair(df.filter("false"), "doc_id", "text", "source").count() == 0
     assert hashlib.md5(got[1001].encode()).hexdigest() == hashlib.md5(clean[0].encode()).hexdigest()
+
+
+def test_single_words_of_a_garbled_source(spark):
+    clean = ["the naïve model", "a façade of stone", "Müller cells", "the rôle of cells", "a café nearby"]
+    data = [(i, "s", clean[i % 5] + f" {i}") for i in range(3000)] + [(5000 + i, "t", (clean[i % 5] + f" {i}").encode("cp1252").decode("mac_roman")) for i in range(40)]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string")
+    got = {r.id: r.restored for r in mojibake.repair(df, "doc_id", "text", "source").collect()}
+    assert got == {5000 + i: clean[i % 5] + f" {i}" for i in range(40)}
