@@ -80,7 +80,7 @@ def assignment(a: tuple[str, ...], b: tuple[str, ...], cost) -> float:
     if len(a) != len(b):
         return float("inf")
     if len(a) > 16:
-        return 0.0 if sorted(a) == sorted(b) else float("inf")
+        return _matching(a, b, cost)
     layer = {0: 0.0}
     for x in a:
         after: dict[int, float] = {}
@@ -94,6 +94,32 @@ def assignment(a: tuple[str, ...], b: tuple[str, ...], cost) -> float:
     return min(layer.values(), default=float("inf"))
 
 
+def _matching(a: tuple[str, ...], b: tuple[str, ...], cost) -> float:
+    """assignment() in polynomial time, by shortest augmenting paths (Bellman-Ford, as steps back lower the cost)."""
+    n, inf = len(a), float("inf")
+    c = [[cost(x, y) for y in b] for x in a]
+    of: list[int] = [-1] * n  # row of each column
+    for start in range(n):
+        dist, back, queue = list(c[start]), [-1] * n, [k for k in range(n) if c[start][k] < inf]
+        while queue:
+            j = queue.pop(0)
+            i = of[j]
+            if i < 0:
+                continue
+            for k in range(n):
+                t = dist[j] - c[i][j] + c[i][k]
+                if k != j and t < dist[k] - 1e-9:
+                    dist[k], back[k] = t, j
+                    queue.append(k)
+        j = min((k for k in range(n) if of[k] < 0), key=dist.__getitem__)
+        if dist[j] == inf:
+            return inf
+        while back[j] >= 0:
+            of[j], j = of[back[j]], back[j]
+        of[j] = start
+    return sum(c[i][j] for j, i in enumerate(of))
+
+
 def _subsequence(short: str, word: str) -> bool:
     it = iter(word)
     return all(ch in it for ch in short)

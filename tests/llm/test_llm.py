@@ -214,3 +214,16 @@ def test_single_words_of_a_garbled_source(spark):
     df = spark.createDataFrame(data, "doc_id long, source string, text string")
     got = {r.id: r.restored for r in mojibake.repair(df, "doc_id", "text", "source").collect()}
     assert got == {5000 + i: clean[i % 5] + f" {i}" for i in range(40)}
+
+
+def test_names_of_many_words_are_aligned():
+    rng = random.Random(5)
+    for n in range(1, 7):
+        for _ in range(200):
+            c = {(x, y): rng.choice([0.0, 0.2, 0.4, 0.6, float("inf")]) for x in range(n) for y in range(n)}
+            cost = lambda x, y: c[x, y]  # noqa: B023, E731
+            a = tuple(range(n))
+            assert names._matching(a, a, cost) == pytest.approx(names.assignment(a, a, cost))
+    long = tuple(f"word{'abcdefghijklmnopq'[k]}" for k in range(16)) + ("university",)
+    assert names.assignment(long, ("univ", *long[:-1]), names.word_cost) == pytest.approx(0.2)
+    assert names.assignment(long, ("other", *long[:-1]), names.word_cost) == float("inf")
