@@ -7,24 +7,35 @@ from pyspark.sql import functions as F
 
 from quillmark.runtime import staged
 
-#: A key is heavy if it has more than this share of all rows: at most 1 / share keys are, which bounds every broadcast of heavy keys.
-HEAVY_SHARE = 0.001
+#: Heavy keys are at most this many, whatever the data: they have more than 1 / HEAVY_KEYS of all rows. That bounds every broadcast of them.
+HEAVY_KEYS = 100_000
+#: Rows of one key that a task takes without a split.
+TASK_ROWS = 10_000
 
 
-def heavy_keys(counts: DataFrame, total: int, n: str = "n", share: float = HEAVY_SHARE, least: int = 1000) -> DataFrame:
-    """The rows of counts (one per key) whose n exceeds both share of total and least: fewer than 1 / share rows."""
-    return counts.filter(F.col(n) > F.lit(max(least, int(total * share))))
+def heavy_keys(counts: DataFrame, total: int, n: str = "n", least: int = TASK_ROWS) -> DataFrame:
+    """The rows of counts (one per key, n rows each) with more than `least` rows and more than 1 / HEAVY_KEYS of total.
+
+    So a light key has at most 10,000 rows up to 10^9 rows, and 10^7 at 10^12.
+    """
+    return counts.filter(F.col(n) > F.lit(max(least, total // HEAVY_KEYS)))
 
 
-def split_join(left: DataFrame, right: DataFrame, on: list[str], heavy: DataFrame) -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, on: list[str], heavy: DataFrame, n: str = "n", rows: int = TASK_ROWS) -> DataFrame:
     """Inner join of many rows (left) with one row per key (right).
 
-    Keys listed in heavy (fewer than 1 / HEAVY_SHARE of them, so the broadcast is bounded) meet their right row in
-    a broadcast join and never go through a shuffle; all others are joined by shuffle. Null keys join nothing.
+    Keys listed in heavy (with their number of rows n) are salted: their left rows are dealt out to parts of about `rows` rows, and
+    their right row goes to each part. Only 64-bit hashes of the heavy keys are broadcast, at most HEAVY_KEYS of 16 bytes; two
+    keys of one hash are merely salted alike. Salts depend on the row alone, so a repeated task gives the same rows. Null keys join nothing.
     """
-    hot = F.broadcast(heavy.select(*on))
-    light = left.join(hot, on, "left_anti").join(right, on)
-    return light.unionByName(left.join(F.broadcast(right.join(hot, on, "left_semi")), on))
+    parts = heavy.groupBy(F.xxhash64(*on).alias("_h")).agg(F.ceil(F.max(n) / rows).cast("int").alias("_parts"))
+    parts = F.broadcast(parts)
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    a = left.withColumn("_x", F.xxhash64(*on)).join(parts, F.col("_x") == F.col("_h"), "left")
+    a = a.withColumn("_salt", F.when(last > 0, F.pmod(F.xxhash64(*left.columns), last + 1)).otherwise(0).cast("int")).drop("_x", "_h", "_parts")
+    b = right.withColumn("_x", F.xxhash64(*on)).join(parts, F.col("_x") == F.col("_h"), "left")
+    b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_x", "_h", "_parts")
+    return a.join(b, [*on, "_salt"]).drop("_salt")
 
 
 def numbered(df: DataFrame, key: str, order: str, number: str) -> DataFrame:

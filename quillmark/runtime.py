@@ -11,7 +11,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 _LOCAL: list[str] = []
@@ -61,27 +60,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a local one for this process alone."""
+    """The folder of spark.checkpoint.dir; where it is unset, a local one for this process, which only a local master allows."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not _LOCAL or not any("quillmark-shared" in x for x in _LOCAL):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        if not any("quillmark-shared" in x for x in _LOCAL):
             _LOCAL.append(tempfile.mkdtemp(prefix="quillmark-shared-"))
         folder = "file://" + next(x for x in _LOCAL if "quillmark-shared" in x)
     return folder.rstrip("/")
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """Where this application's staged tables lie."""
+    return f"{shared_folder(spark)}/quillmark/{spark.sparkContext.applicationId}"
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quillmark/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deals rows out evenly before a costly Python step, when the scan has fewer splits than there are cores."""
-    return df.repartition(parallelism(df.sparkSession), *[F.col(k) for k in keys])
+def clean(spark: SparkSession, path: str | None = None) -> None:
+    """Removes a staged folder, or all of this application's once nothing reads them any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path or stage_folder(spark))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -70,12 +70,16 @@ def test_semi_and_anti_joins_make_up_the_input(spark):
     assert rows.join(keys, "k", "left_semi").count() + rows.join(keys, "k", "left_anti").count() == 100
 
 
+def test_heavy_keys_are_bounded_in_number_not_by_a_share():
+    assert skew.HEAVY_KEYS * 16 < 2 * 1024**2  # bytes broadcast
+
+
 def test_split_join_equals_a_join(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
     dim = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     heavy = skew.heavy_keys(dim, 5000, least=100)
     assert heavy.count() >= 1
-    got = skew.split_join(rows, dim, ["k"], heavy)
+    got = skew.split_join(rows, dim, ["k"], heavy, rows=100)
     assert sorted(map(tuple, got.select("id", "n").collect())) == sorted(map(tuple, rows.join(dim, "k").select("id", "n").collect()))
 
 
