@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.operators.skew import heavy_keys, split_join
+from quillmark.runtime import staged
 
 
 def letters_digits(c: Column) -> Column:
@@ -49,10 +50,10 @@ def format_groups(df: DataFrame, id_col: str, value: str, scope: str | None = No
 def format_links(df: DataFrame, id_col: str, value: str, scope: str | None = None, canon=address) -> DataFrame:
     """(keep_id, dup_id): for each group its smallest id with every other id."""
     rows = _rows(df, id_col, value, scope)
-    total = rows.count()
-    raw = _survivors(rows, canon)
+    raw = staged(_survivors(rows, canon), "survivors")  # the one large aggregation, read four times below
+    total = raw.agg(F.sum("n")).first()[0] or 0
     groups = raw.groupBy("scope", "canon").agg(F.min("first_id").alias("keep_id"), F.sum("n").alias("copies"), F.count(F.lit(1)).alias("forms")).filter("copies > 1")
-    members = split_join(raw, groups, ["scope", "canon"], heavy_keys(groups, total, "forms"))
+    members = split_join(raw, groups, ["scope", "canon"], heavy_keys(groups, total, "forms"), "forms")
     firsts = members.filter("first_id <> keep_id").select("keep_id", F.col("first_id").alias("dup_id"))
     several = members.filter("n > 1").select("scope", "raw", "keep_id", "first_id", "n")
     again = split_join(rows, several, ["scope", "raw"], heavy_keys(several, total))
