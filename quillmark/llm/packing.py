@@ -1,13 +1,15 @@
 """Filling fixed-capacity containers with items of varying length.
 
 Method: space-filling-curve order. A document's tokens are hashed into a vector of BUCKETS counts, projected to DIMS
-dimensions, and its place on a Hilbert curve is its key; documents are range-sorted by (key, id), and each stretch of the
-curve is packed by itself: best fit, longest first, within a window of neighbouring documents, where containers that
-still have room stay open for the next window. Only items longer than a container are split: into full containers and a rest.
+dimensions, and its place on a Hilbert curve is its key. Exact counts of the curve's cells (prefixes of the key) cut it into
+stretches of about STRETCH documents, whatever the number of partitions; each stretch is sorted by (key, id) and packed by
+itself: best fit, longest first, all its containers being open to the end. A cell with more documents than a stretch is
+dealt out to several by a hash of the id. Only items longer than a container are split: into full containers and a rest.
 
 Defined cases: null and empty texts have length 0 and are put at the end of some container; equal texts have equal keys
 and are ordered by id; repeated ids are packed each; texts of any length are handled in full; an empty table gives an
-empty result; the capacity is at least 1. Container ids are unique, not consecutive, and the same on every run over the same input and partition number.
+empty result; the capacity is at least 1. Container ids are unique, not consecutive, and the same on every run over the same
+rows, however they are partitioned.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,10 @@ from quillmark.llm.tokens import TOKENIZERS, VOCABULARY, encoder
 from quillmark.runtime import staged
 
 BUCKETS, DIMS, BITS = 256, 4, 12
-#: Items packed at once, and containers kept open for the following ones: bounds of a task's memory.
-WINDOW, OPEN = 8192, 2048
+#: Documents of a stretch of the curve, which is packed at once: the unit of work and the bound of a task's memory.
+STRETCH = 8192
+#: Leading bits of a key that name a cell; the table of cells, at most 2 ** CELL_BITS rows, goes to the driver and is broadcast (1 MB).
+CELL_BITS = 15
 _PROJECTION = np.random.default_rng(9).standard_normal((BUCKETS, DIMS)) / np.sqrt(BUCKETS)
 
 
@@ -73,36 +76,27 @@ def curve_key(ids: list[list[int]]) -> np.ndarray:
     return hilbert((scaled * (1 << BITS)).astype(np.int64))
 
 
-class Packer:
-    """Packs items of one stretch of the curve; keeps containers with room sorted by their room."""
-
-    def __init__(self, capacity: int):
-        self.capacity = capacity
-        self.count = 0
-        self.rooms: list[tuple[int, int]] = []  # (room, container), ascending
-
-    def _new(self) -> int:
-        self.count += 1
-        return self.count - 1
-
-    def pack(self, items: list[tuple[int, object]]) -> list[tuple[object, int, int, int, int, int]]:
-        """items: (length, id). Gives (id, piece, start, length, container, offset)."""
-        out, rest = [], []
-        for size, i in items:
-            start = piece = 0
-            while size - start > self.capacity:
-                out.append((i, piece, start, self.capacity, self._new(), 0))
-                start, piece = start + self.capacity, piece + 1
-            rest.append((size - start, start, piece, i))
-        rest.sort(key=lambda r: -r[0])
-        for size, start, piece, i in rest:
-            k = bisect.bisect_left(self.rooms, (size, -1))
-            room, c = self.rooms.pop(k) if k < len(self.rooms) else (self.capacity, self._new())
-            out.append((i, piece, start, size, c, self.capacity - room))
-            bisect.insort(self.rooms, (room - size, c))
-        if len(self.rooms) > OPEN:
-            self.rooms = self.rooms[-OPEN:]  # the fullest are closed
-        return out
+def pack_stretch(items: list[tuple[int, object]], capacity: int) -> list[tuple[object, int, int, int, int, int]]:
+    """Best fit, longest first, of items (length, id): (id, piece, start, length, container, offset)."""
+    out: list[tuple[object, int, int, int, int, int]] = []
+    rest, count = [], 0
+    for size, i in items:
+        start = piece = 0
+        while size - start > capacity:
+            out.append((i, piece, start, capacity, count, 0))
+            start, piece, count = start + capacity, piece + 1, count + 1
+        rest.append((size - start, start, piece, i))
+    rest.sort(key=lambda r: -r[0])  # stable: neighbours on the curve stay neighbours
+    rooms: list[tuple[int, int]] = []  # (room, container), ascending
+    for size, start, piece, i in rest:
+        k = bisect.bisect_left(rooms, (size, -1))
+        if k < len(rooms):
+            room, c = rooms.pop(k)
+        else:
+            room, c, count = capacity, count, count + 1
+        out.append((i, piece, start, size, c, capacity - room))
+        bisect.insort(rooms, (room - size, c))
+    return out
 
 
 def _sizes(path: str):
@@ -116,38 +110,46 @@ def _sizes(path: str):
 
 
 def _packed(capacity: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer, base, held = Packer(capacity), TaskContext.get().partitionId() << 40, []
-        columns = ["id", "piece", "start", "length", "container", "offset"]
-
-        def flush(items):
-            df = pd.DataFrame(packer.pack(items), columns=columns)
-            df["container"] += base
-            return df
-
-        for pdf in batches:
-            held += zip(pdf["size"].tolist(), pdf["id"].tolist(), strict=True)
-            while len(held) >= 2 * WINDOW:
-                yield flush(held[:WINDOW])
-                held = held[WINDOW:]
-        if held:
-            yield flush(held)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["key", "id", "size"], kind="stable")
+        rows = pack_stretch(list(zip(pdf["size"].tolist(), pdf["id"].tolist(), strict=True)), capacity)
+        df = pd.DataFrame(rows, columns=["id", "piece", "start", "length", "container", "offset"])
+        df["container"] += int(pdf["stretch"].iloc[0]) << 32
+        return df
 
     return run
 
 
-def pack(df: DataFrame, id_col: str, text: str, capacity: int = 2048, path: str = f"{TOKENIZERS}/{VOCABULARY}", partitions: int | None = None) -> DataFrame:
+def stretches(cells: list[tuple[int, int]], target: int) -> list[tuple[int, int, int]]:
+    """(cell, first stretch, number of stretches) of cells (cell, documents) in order along the curve."""
+    out, stretch, held = [], 0, 0
+    for cell, n in sorted(cells):
+        if n > target:  # a dense cell has stretches of its own
+            stretch, parts = stretch + (held > 0), -(-n // target)
+            out.append((cell, stretch, parts))
+            stretch, held = stretch + parts, 0
+            continue
+        if held + n > target:
+            stretch, held = stretch + 1, 0
+        out.append((cell, stretch, 1))
+        held += n
+    return out
+
+
+def pack(df: DataFrame, id_col: str, text: str, capacity: int = 2048, path: str = f"{TOKENIZERS}/{VOCABULARY}", stretch: int = STRETCH) -> DataFrame:
     """(id, piece, start, length, container, offset): where tokens [start, start + length) of each document lie."""
     kind = dict(df.dtypes)[id_col]
     sized = df.select(df[id_col].alias("id"), _sizes(path)(F.coalesce(df[text], F.lit(""))).alias("s")).select("id", "s.size", "s.key")
-    sized = staged(sized, "sizes")  # the range bounds are drawn from it first; texts are encoded only once
-    total = sized.agg(F.count(F.lit(1)), F.sum("size")).first()
-    if partitions is None:
-        # A stretch of the curve holds about 16 windows, so that its last containers weigh little.
-        partitions = max(1, min(10_000, total[0] // (16 * WINDOW)))
-    sized = sized.repartitionByRange(partitions, "key", "id").sortWithinPartitions("key", "id")
+    sized = sized.withColumn("cell", F.shiftright("key", DIMS * BITS - CELL_BITS).cast("int"))
+    sized = staged(sized, "sizes")  # texts are encoded once
+    cells = [tuple(r) for r in sized.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()]
+    total = sum(n for _, n in cells)
+    target = max(1, -(-total // max(1, -(-total // stretch))))  # stretches of about one size
+    where = df.sparkSession.createDataFrame(stretches(cells, target) or [(0, 0, 1)], "cell int, first long, parts int")
+    placed = sized.join(F.broadcast(where), "cell").withColumn("stretch", F.col("first") + F.pmod(F.xxhash64("id", "key"), F.col("parts")))
     schema = f"id {kind}, piece int, start long, length long, container long, offset long"
-    return sized.mapInPandas(_packed(capacity), schema).withColumnRenamed("id", id_col)
+    out = placed.select("stretch", "key", "id", "size").groupBy("stretch").applyInPandas(_packed(capacity), schema)
+    return out.withColumnRenamed("id", id_col)
 
 
 def fill(packed: DataFrame, capacity: int) -> DataFrame:
