@@ -1,33 +1,44 @@
 """Deduplicating new batches against all history, by a segment index for bounded edit distance.
 
 A record repeats an accepted record of an earlier batch if both have one address, or one host and descriptions whose
-word sets share at least a given part of their union. Sorted word sets are strings over words: their insertion-deletion
-distance is the size of the symmetric difference, and a similarity J bounds it by (1 - J) / (1 + J) * (|a| + |b|).
+word sets share at least a given part of their union. A word set is a string over words, in a fixed order (by the words'
+hashes, so that frequent words lie scattered): the insertion-deletion distance of two such strings is the size of the
+symmetric difference, and a similarity J bounds it by (1 - J) / (1 + J) * (|a| + |b|), at most (1 - J) / J * |b|.
 
-Method: segment index. For every size of the partner a word set is cut into a fixed number of segments, one more than the
-bounded distance, by a hash of the word (the segment number is its position); within the bound at least one segment is
-equal, so that each segment is stored once by (host, size, size of the partner, position) and a batch probes only these
-keys; within one history each pair is probed from its smaller set. Hits are verified on the whole sets. Addresses are the case of distance 0: one segment, the canonical text itself.
+Method: segment index. An accepted string of length l is stored in floor((1 - J) / J * l) + 1 segments, each with its host,
+length, number and position; so the index is linear in the text. Within the bound one segment at least stands unchanged in a
+similar string. A batch probes the index with substrings of its strings: of the lengths that segments have, and only at
+positions that the number of the segment and both lengths allow. Hits are verified by the bounded distance on the whole
+strings. Accepted records of the batch are appended as segments; no earlier text is read but those hit. Addresses are the
+case of distance 0.
 
-Whole histories are resolved without comparing copies: rows fall into classes of one address, host and word set, whose
-first batch decides; a class is accepted if no accepted class of an earlier batch is its neighbour, and rounds settle
-those classes all of whose earlier neighbours are settled. Chains of repeats bound the rounds, not the data.
+Segments that very many strings share (boilerplate of one host) are refined: their first entries are tried in order of
+acceptance, which settles near copies, and for the rest the remaining words of both strings are cut into segments again, as
+the same bound holds for them. So no key meets all of its pairs, and none is dropped.
+
+Rows of one batch with one address and word set are one node; copies are never compared with each other. Texts are
+identified by 128-bit digests; 64-bit hashes are only looked up, and verified.
 
 Defined cases: a null or empty address matches nothing by address; an empty host or null description matches nothing by
 description; two descriptions without words have no union and don't match; repeats within one batch are all accepted;
-rows without a batch are left out; repeated ids count as one row; texts of any length are compared in full; an empty
-table gives an empty result. Of two accepted partners the one of the earlier batch, then the smaller id, is taken.
+rows without a batch or id are left out; repeated ids count as one row, that of the first batch; texts of any length are
+compared in full; an empty table gives an empty result. Of several accepted partners the one of the earliest batch, then the
+smallest id, is taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmark.operators.skew import heavy_keys, split_join
-from quillmark.runtime import staged
+from quillmark.runtime import clean, stage_path, staged
 
 SHARE = 0.8
+#: Index entries of one key that a probe meets at once; keys with more are refined, after their FIRST entries.
+FAN, FIRST = 1000, 32
 
 
 def host(url: Column) -> Column:
@@ -43,116 +54,209 @@ def word_set(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))))
 
 
-def _bound(a: Column, b: Column, share: float) -> Column:
-    """Most that the symmetric difference of sets of these sizes can be."""
-    return F.floor((a + b) * ((1 - share) / (1 + share)) + 1e-9).cast("int")
+def _tolerance(size: Column, share: float) -> Column:
+    """Most that the symmetric difference of a set of this size and any similar one can be."""
+    return F.floor(size * ((1 - share) / share) + 1e-9).cast("int")
 
 
-def segment_keys(sets: DataFrame, share: float = SHARE, side: str = "all") -> DataFrame:
-    """Index rows (cls, key) of sets(cls, host, words): a key for each size of a partner and each segment.
+def _rest(words: Column, cuts: Column) -> Column:
+    """The words without the stretches (at, len) cut out one after the other."""
+    return F.aggregate(cuts, words, lambda w, c: F.concat(F.slice(w, F.lit(1), c["at"]), F.slice(w, c["at"] + c["len"] + 1, F.size(w))))
 
-    The key is (host, smaller size, larger size, position, segment), hashed; an empty segment is stored as well. side:
-    "small" for partners at least as large, "large" for partners at most as large, "all" for both.
-    """
-    n = F.size("words")
-    low = F.ceil(n * share - 1e-9).cast("int") if side != "small" else n
-    high = F.floor(n / share + 1e-9).cast("int") if side != "large" else n
-    others = F.sequence(low, high)
-    x = sets.select("cls", "host", n.alias("size"), others.alias("others"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    x = x.withColumn("parts", F.explode(F.array_distinct(F.transform("others", lambda o: _bound(F.col("size"), o, share) + 1))))
-    # Several sizes of a partner need the same number of segments: the words are dealt out once for them.
-    part = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.xxhash64("host", p, F.filter("hashes", lambda h: F.pmod(F.shiftright(h, 17), F.col("parts")) == p)))
-    x = x.select("cls", "size", "parts", part.alias("segments"), F.filter("others", lambda o: _bound(F.col("size"), o, share) + 1 == F.col("parts")).alias("others"))
-    x = x.select("cls", "size", "segments", F.explode("others").alias("other")).select("cls", "size", "other", F.explode("segments").alias("h"))
-    return x.select("cls", F.xxhash64(F.least("size", "other"), F.greatest("size", "other"), "h").alias("key"))
+
+def _index_entries(sets: DataFrame, prefix: str, left: Column, share: float) -> DataFrame:
+    """sets with a row for each segment of `left`: key, seg, at, len. With fewer words than segments one entry stands for all (len 0)."""
+    parts, n = _tolerance(F.col("size"), share) + 1, F.size("left")
+    cut = lambda i: F.floor(i * n / parts).cast("int")
+    each = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.struct(i.alias("seg"), cut(i).alias("at"), (cut(i + 1) - cut(i)).alias("len")))
+    whole = F.array(F.struct(F.lit(-1).alias("seg"), F.lit(0).alias("at"), F.lit(0).alias("len")))
+    x = sets.withColumn("left", left).withColumn("e", F.explode(F.when(n >= parts, each).otherwise(whole)))
+    key = F.xxhash64(F.col(prefix), F.slice("left", F.col("e.at") + 1, F.col("e.len")))
+    return x.withColumn("_k", key).drop("key", "seg", "at", "len").select("*", F.col("_k").alias("key"), "e.seg", "e.at", "e.len").drop("left", "e", "_k")
+
+
+def _probe_entries(sets: DataFrame, prefix: str, left: Column, share: float) -> DataFrame:
+    """sets with a row for each substring of `left` that may be a segment of a similar string: key, at, len."""
+    gone = F.col("size") - F.size("left")
+    partner = F.sequence(F.ceil(F.col("size") * share - 1e-9).cast("int"), F.floor(F.col("size") / share + 1e-9).cast("int"))
+
+    def lengths(m):
+        parts, rest = _tolerance(m, share) + 1, m - gone
+        return F.when(rest >= parts, F.array(F.floor(rest / parts).cast("int"), F.ceil(rest / parts).cast("int"))).otherwise(F.array(F.lit(0)))
+
+    kinds = F.array_distinct(F.flatten(F.transform(partner, lengths)))
+    x = sets.withColumn("left", left).withColumn("len", F.explode(F.filter(kinds, lambda k: (k >= 0) & (k <= F.size("left")))))
+    x = x.withColumn("at", F.explode(F.sequence(F.lit(0), F.when(F.col("len") == 0, 0).otherwise(F.size("left") - F.col("len")))))
+    return x.withColumn("key", F.xxhash64(F.col(prefix), F.slice("left", F.col("at") + 1, F.col("len")))).drop("left")
+
+
+def _allowed(share: float) -> Column:
+    """Whether lengths (n of the probe, size) and positions (p of the probe, at) of a hit allow the bounded distance."""
+    shift, more, most = F.col("p") - F.col("at"), F.col("n") - F.col("size"), _tolerance(F.col("size"), share)
+    near = (F.abs(shift) <= F.col("seg")) & (F.abs(shift - more) <= most - F.col("seg"))
+    lengths = F.abs(more) <= F.floor((F.col("n") + F.col("size")) * ((1 - share) / (1 + share)) + 1e-9)
+    return lengths & ((F.col("seg") < 0) | near)
 
 
 def _verified(hits: DataFrame, new: DataFrame, old: DataFrame, share: float) -> DataFrame:
-    hits = hits.join(new.select(F.col("cls").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa")), "a")
-    hits = hits.join(old.select(F.col("cls").alias("b"), F.col("host").alias("hb"), F.col("words").alias("wb")), "b")
-    common = F.size(F.array_intersect("wa", "wb"))
-    ok = (F.col("ha") == F.col("hb")) & (common >= share * (F.size("wa") + F.size("wb") - common) - 1e-9)
-    return hits.filter(ok).select("a", "b")
-
-
-def similar_pairs(new: DataFrame, index: DataFrame, old: DataFrame, share: float = SHARE) -> DataFrame:
-    """(a, b) of the classes of new and of old (cls, host, words) with one host and similar word sets; index: segment_keys of old."""
-    hits = segment_keys(new, share).withColumnRenamed("cls", "a").join(index.withColumnRenamed("cls", "b"), "key").filter("a <> b")
-    return _verified(hits.select("a", "b").distinct(), new, old, share)
-
-
-def similar_within(sets: DataFrame, share: float = SHARE) -> DataFrame:
-    """(a, b), a < b, of the similar classes of sets(cls, host, words): each pair is looked up once, from its smaller set."""
-    hosts = sets.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")  # a host with one class has no pair
-    sets = staged(split_join(sets, hosts, ["host"], heavy_keys(hosts, sets.count())).select("cls", "host", "words"), "sets")
-    hits = segment_keys(sets, share, "small").withColumnRenamed("cls", "x").join(segment_keys(sets, share, "large").withColumnRenamed("cls", "y"), "key").filter("x <> y")
-    return _verified(hits.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, sets, share)
-
-
-def deduplicate_history(rows: DataFrame, share: float = SHARE) -> DataFrame:
-    """(id, repeats): every row that repeats an accepted row, over all batches of rows(id, batch, addr, host, words)."""
-    rows = rows.filter("id is not null and batch is not null")
-    rows = rows.withColumn("addr", F.when(F.col("addr") != "", F.col("addr"))).withColumn("words", F.when((F.col("host") != "") & (F.size("words") > 0), F.col("words")))
-    dcls = F.when(F.col("words").isNotNull(), F.xxhash64("host", "words"))
-    rows = rows.withColumn("d", dcls).withColumn("node", F.xxhash64(F.coalesce("addr", F.lit("\x01")), F.coalesce("d", F.xxhash64(F.lit("row"), "id"))))
-    rows = staged(rows, "rows")
-    sets = rows.filter("d is not null").groupBy(F.col("d").alias("cls")).agg(F.first("host").alias("host"), F.first("words").alias("words"))
-    sets = staged(sets, "sets")
-    rows = rows.groupBy("id").agg(F.min(F.struct("batch", "node", "addr", "d")).alias("r")).select("id", "r.*")
-    # A class of rows: its first batch, and the smallest id in it. Copies are never compared with each other.
-    nodes = rows.groupBy("node").agg(F.min(F.struct("batch", "id")).alias("f"), F.first("addr").alias("addr"), F.first("d").alias("d"))
-    nodes = staged(nodes.select("node", F.col("f.batch").alias("batch"), F.col("f.id").alias("id"), "addr", "d"), "nodes")
-    pairs = staged(similar_within(sets, share), "pairs")
-    links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(sets.select(F.col("cls").alias("a"), F.col("cls").alias("b")))
-
-    # State of the rounds: accepted and repeated classes. A hub (address or word set) knows its earliest accepted class and
-    # its earliest open one: a class is settled once no open neighbour is earlier than it.
-    state = nodes.withColumn("accepted", F.lit(None).cast("boolean"))
-    rounds = 0
-    while True:
-        near = _hub_first(state, links)
-        s = state.join(near["addr"], "addr", "left").join(near["d"], "d", "left")
-        hit = F.coalesce(F.least("acc_addr", "acc_d")) < F.col("batch")
-        wait = F.coalesce(F.least("open_addr", "open_d")) < F.col("batch")
-        new = F.when(F.col("accepted").isNotNull(), F.col("accepted")).when(hit, False).when(F.coalesce(wait, F.lit(False)), F.lit(None)).otherwise(True)
-        state = staged(s.select("node", "batch", "id", "addr", "d", new.alias("accepted")), "state")
-        rounds += 1
-        if not state.filter("accepted is null").limit(1).count():
-            break
-    return _partners(rows, state, links)
+    """The hits (a, b, ...) whose whole sets are within the bounded distance."""
+    hits = hits.join(new.select(F.col("set").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa")), "a")
+    hits = hits.join(old.select(F.col("set").alias("b"), F.col("host").alias("hb"), F.col("words").alias("wb")), "b")
+    common, both = F.size(F.array_intersect("wa", "wb")), F.size("wa") + F.size("wb")
+    close = both - 2 * common <= (both - common) * (1 - share) + 1e-9
+    return hits.filter((F.col("ha") == F.col("hb")) & close).drop("ha", "hb", "wa", "wb")
+
 
+def _hits(probe: DataFrame, index: DataFrame, share: float) -> DataFrame:
+    p = probe.select("key", F.col("set").alias("a"), F.col("size").alias("n"), F.col("at").alias("p"))
+    i = index.select("key", F.col("set").alias("b"), "size", "seg", "at", "batch", "id")
+    return p.join(i, "key").filter(_allowed(share)).select("key", "a", "b", "batch", "id")
 
-def _hub_first(state: DataFrame, links: DataFrame) -> dict[str, DataFrame]:
-    """For each address and each word set: the batch of its earliest accepted and earliest open neighbour."""
-    acc = F.min(F.when(F.col("accepted"), F.col("batch")))
-    opened = F.min(F.when(F.col("accepted").isNull(), F.col("batch")))
-    addr = state.filter("addr is not null and (accepted is null or accepted)").groupBy("addr").agg(acc.alias("acc_addr"), opened.alias("open_addr"))
-    own = state.filter("d is not null and (accepted is null or accepted)").groupBy(F.col("d").alias("b")).agg(acc.alias("acc"), opened.alias("open"))
-    d = links.join(own, "b").groupBy(F.col("a").alias("d")).agg(F.min("acc").alias("acc_d"), F.min("open").alias("open_d"))
-    return {"addr": addr, "d": d}
 
+def nearest_sets(new: DataFrame, segments: DataFrame, old: DataFrame, share: float = SHARE, fan: int = FAN) -> DataFrame:
+    """(set, p): for each set of new the earliest (batch, id) of the similar sets of old.
 
-def _partners(rows: DataFrame, state: DataFrame, links: DataFrame) -> DataFrame:
-    ok = state.filter("accepted").select(F.struct("batch", "id").alias("f"), "addr", "d")
-    by_addr = ok.filter("addr is not null").groupBy("addr").agg(F.min("f").alias("fa"))
-    own = ok.filter("d is not null").groupBy(F.col("d").alias("b")).agg(F.min("f").alias("f"))
-    by_set = links.join(own, "b").groupBy(F.col("a").alias("d")).agg(F.min("f").alias("fd"))
-    # One partner for a class and batch: rows meet it through their class, so that a hot address isn't joined row by row.
-    first = state.select("node", "addr", "d").join(by_addr, "addr", "left").join(by_set, "d", "left").select("node", F.least("fa", "fd").alias("p")).filter("p is not null")
-    return rows.select("id", "batch", "node").join(first, "node").filter("p.batch < batch").select("id", F.col("p.id").alias("repeats"))
+    new: (set, host, words); old: (set, host, words, batch, id); segments: segment_index(old).
+    """
+    sized = new.select("set", "host", "words", F.size("words").alias("size"))
+    probe = _probe_entries(sized, "host", F.col("words"), share).select("key", "set", "size", "at", "len").withColumn("cuts", _no_cuts())
+    met = staged(segments.join(probe.select("key").distinct(), "key", "left_semi"), "met").withColumn("cuts", _no_cuts())
+    found = []
+    pair = ["a", "b", "batch", "id"]
+    while True:
+        hot = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fan).select("key")
+        best = _verified(_hits(probe, met.join(hot, "key", "left_anti"), share).select(*pair).distinct(), new, old, share)
+        found.append(best.groupBy("a").agg(F.min(F.struct("batch", "id")).alias("p")))
+        if not hot.limit(1).count():
+            break
+        mine, theirs = probe.join(hot, "key", "left_semi"), met.join(hot, "key", "left_semi")
+        turn = F.row_number().over(Window.partitionBy("key").orderBy("batch", "id"))
+        first = theirs.withColumn("turn", turn).filter(F.col("turn") <= FIRST)
+        settled = staged(_verified(_hits(mine, first, share), new, old, share).groupBy("key", "a").agg(F.min(F.struct("batch", "id")).alias("p")), "settled")
+        found.append(settled.groupBy("a").agg(F.min("p").alias("p")))
+        mine = mine.join(settled.select("key", F.col("a").alias("set")), ["key", "set"], "left_anti")
+        # Strings without words left are all but verified by what was cut out of them; they meet as they are.
+        best = _verified(_hits(mine, theirs.filter("len = 0"), share).select(*pair).distinct(), new, old, share)
+        found.append(best.groupBy("a").agg(F.min(F.struct("batch", "id")).alias("p")))
+        cut, rest = F.concat("cuts", F.array(F.struct("at", "len"))), _rest(F.col("words"), F.col("cuts"))
+        mine = mine.filter("len > 0").select(F.col("key").alias("up"), "set", "size", cut.alias("cuts")).join(new.select("set", "words"), "set")
+        theirs = theirs.filter("len > 0").select(F.col("key").alias("up"), "set", "size", "batch", "id", cut.alias("cuts")).join(old.select("set", "words"), "set")
+        cols = ["key", "set", "size", "at", "len", "cuts"]
+        probe = staged(_probe_entries(mine, "up", rest, share).select(*cols), "probe")
+        deep = _index_entries(theirs, "up", rest, share).select(*cols, "seg", "batch", "id")
+        met = staged(deep.join(probe.select("key").distinct(), "key", "left_semi"), "met")
+    all_found = found[0]
+    for f in found[1:]:
+        all_found = all_found.unionByName(f)
+    return all_found.groupBy(F.col("a").alias("set")).agg(F.min("p").alias("p"))
+
+
+def _no_cuts() -> Column:
+    return F.array().cast("array<struct<at:int,len:int>>")
+
+
+def segment_index(sets: DataFrame, share: float = SHARE) -> DataFrame:
+    """(key, set, size, seg, at, len, batch, id): a row for each segment of sets(set, host, words, batch, id)."""
+    sized = sets.select("set", "host", "words", F.size("words").alias("size"), "batch", "id")
+    return _index_entries(sized, "host", F.col("words"), share).select("key", "set", "size", "seg", "at", "len", "batch", "id")
+
+
+class Store:
+    """What is kept of accepted records, in a folder: addresses, word sets and the segments of these, appended batch by batch.
+
+    A batch's part is written whole into a folder of its own, so that a step that failed can be done again.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, id_type: str = "bigint"):
+        self.spark, self.folder = spark, folder
+        place = f"batch string, id {id_type}"
+        self.schemas = {
+            "addresses": f"addr string, {place}",
+            "sets": f"set binary, host string, words array<string>, {place}",
+            "segments": f"key bigint, set binary, size int, seg int, at int, len int, {place}",
+        }
+
+    def read(self, name: str) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.schema(self.schemas[name]).option("recursiveFileLookup", "true").parquet(str(path.toString()))
+
+    def append(self, name: str, part: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{self.folder}/{name}/part-{part}")
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """One row per id: (id, batch, addr, host, words, set, node); nodes without address and set match nothing and are left out."""
+    rows = rows.filter("id is not null and batch is not null").select("id", "batch", "addr", "host", "words")
+    rows = rows.groupBy("id").agg(F.min(F.struct("batch", "addr", "host", "words")).alias("r")).select("id", "r.*")
+    words = F.when((F.col("host") != "") & (F.size("words") > 0), F.col("words"))
+    ordered = F.transform(F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), lambda s: s["w"])
+    rows = rows.withColumn("addr", F.when(F.col("addr") != "", F.col("addr"))).withColumn("words", ordered)
+    digest = F.unhex(F.md5(F.concat_ws(" ", "host", F.array_join("words", " "))))
+    rows = rows.withColumn("set", F.when(F.col("words").isNotNull(), digest))
+    node = F.unhex(F.md5(F.concat(F.coalesce("addr", F.lit("")), F.lit(" "), F.coalesce(F.hex("set"), F.lit("")))))
+    return rows.filter("addr is not null or set is not null").withColumn("node", node)
+
+
+def _step(nodes: DataFrame, store: Store, part: str, share: float, fan: int) -> DataFrame:
+    """Partners (batch, node, n, p) of the nodes of one batch that repeat something stored; the others are stored."""
+    sets = nodes.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words"))
+    by_set = nearest_sets(sets, store.read("segments"), store.read("sets"), share, fan)
+    by_addr = nodes.filter("addr is not null").select("addr").distinct().join(store.read("addresses"), "addr").select("addr", F.struct("batch", "id").alias("q"))
+    met = nodes.join(by_addr, "addr", "left").join(by_set, "set", "left").withColumn("p", F.least("q", "p")).drop("q")
+    met = staged(met, "partners")
+    new = met.filter("p is null")
+    fresh = staged(new.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words"), F.first("batch").alias("batch"), F.min("id").alias("id")), "fresh")
+    store.append("addresses", part, new.filter("addr is not null").groupBy("addr").agg(F.first("batch").alias("batch"), F.min("id").alias("id")))
+    store.append("sets", part, fresh)
+    store.append("segments", part, segment_index(fresh, share))
+    return met.filter("p is not null").select("batch", "node", "n", "p")
+
+
+def _collapsed(rows: DataFrame) -> DataFrame:
+    first = lambda c: F.first(c).alias(c)
+    return rows.groupBy("batch", "node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), first("addr"), first("set"), first("host"), first("words"))
+
+
+def _expanded(rows: DataFrame, partners: DataFrame) -> DataFrame:
+    heavy = heavy_keys(partners, rows.count())
+    return split_join(rows.select("id", "batch", "node"), partners, ["batch", "node"], heavy).select("id", F.col("p.id").alias("repeats"))
+
+
+def deduplicate_batch(rows: DataFrame, store: Store, share: float = SHARE, fan: int = FAN) -> DataFrame:
+    """(id, repeats) of the rows (id, batch, addr, host, words) of one new batch that repeat an accepted row of an earlier one.
+
+    Nothing but the store is read of earlier batches; what the batch brings is appended to it.
+    """
+    rows = staged(_nodes(rows), "rows")
+    batches = [r.batch for r in rows.select("batch").distinct().limit(2).collect()]
+    if len(batches) > 1:
+        raise ValueError(f"rows of more than one batch: {batches}")
+    if not batches:
+        return rows.select("id", F.col("id").alias("repeats"))
+    partners = _step(staged(_collapsed(rows), "nodes"), store, quote(batches[0], safe=""), share, fan)
+    return _expanded(rows, staged(partners, "found"))
 
 
-def deduplicate_batch(batch: DataFrame, accepted: DataFrame, index: DataFrame | None = None, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
-    """One new batch against the accepted rows alone: (id, repeats) of the repeats, and the rows to append to accepted.
+def deduplicate_history(rows: DataFrame, share: float = SHARE, fan: int = FAN) -> DataFrame:
+    """(id, repeats): every row that repeats an accepted row, batch after batch over a store that begins empty.
 
-    batch and accepted: (id, batch, addr, host, words). index: the stored segment_keys of accepted with cls = id (built
-    here where it is None); append segment_keys of the new accepted rows to it. Only equal keys of the index are read.
+    The steps are as many as there are batches; each reads the nodes of its batch and the store.
     """
-    old = accepted.filter("words is not null and host <> '' and size(words) > 0").select(F.col("id").alias("cls"), "host", "words")
-    new = batch.filter("words is not null and host <> '' and size(words) > 0").select(F.col("id").alias("cls"), "host", "words")
-    by_set = similar_pairs(new, index if index is not None else segment_keys(old, share), old, share).select(F.col("a").alias("id"), F.col("b").alias("other"))
-    firsts = accepted.filter("addr <> ''").groupBy("addr").agg(F.min(F.struct("batch", "id")).alias("p"))
-    by_addr = batch.filter("addr <> ''").select("id", "addr").join(firsts, "addr").select("id", "p")
-    by_set = by_set.join(accepted.select(F.col("id").alias("other"), F.struct("batch", "id").alias("p")), "other").select("id", "p")
-    repeats = by_addr.unionByName(by_set).groupBy("id").agg(F.min("p").alias("p")).select("id", F.col("p.id").alias("repeats"))
-    return repeats, batch.join(repeats.select("id"), "id", "left_anti")
+    spark = rows.sparkSession
+    rows = staged(_nodes(rows), "rows")
+    folder = stage_path(spark, "nodes")
+    nodes = _collapsed(rows).withColumn("part", F.col("batch"))
+    nodes.write.partitionBy("part").parquet(folder)
+    nodes = spark.read.schema(nodes.schema).parquet(folder)
+    store = Store(spark, stage_path(spark, "store"), dict(rows.dtypes)["id"])
+    found = [_step(nodes.filter(F.col("part") == b).drop("part"), store, f"{k:06d}", share, fan) for k, b in enumerate(sorted(r.batch for r in rows.select("batch").distinct().collect()))]
+    if not found:
+        return rows.select("id", F.col("id").alias("repeats"))
+    partners = found[0]
+    for f in found[1:]:
+        partners = partners.unionByName(f)
+    partners = staged(partners, "found")
+    clean(spark, store.folder)
+    return _expanded(rows, partners)

@@ -126,15 +126,46 @@ def test_history_against_brute_force(spark, seed):
     assert rows(increment.deduplicate_history(df), "id", "repeats") == _brute(data)[0]
 
 
-def test_batch_after_batch_gives_the_same(spark):
+def test_batch_after_batch_gives_the_same(spark, tmp_path):
     data = [r for r in _history(random.Random(3)) if r[1] <= "201303"]
     schema = "id long, batch string, addr string, host string, words array<string>"
-    accepted, got = spark.createDataFrame([], schema), []
+    folder, got, sizes = f"file://{tmp_path}/store", [], []
     for b in sorted({r[1] for r in data}):
-        repeats, more = increment.deduplicate_batch(spark.createDataFrame([r for r in data if r[1] == b], schema), accepted)
-        got += rows(repeats, "id", "repeats")
-        accepted = spark.createDataFrame([tuple(r) for r in accepted.unionByName(more).collect()], schema)
+        store = increment.Store(spark, folder)  # opened anew: all that is known lies in the folder
+        got += rows(increment.deduplicate_batch(spark.createDataFrame([r for r in data if r[1] == b], schema), store), "id", "repeats")
+        sizes.append(store.read("segments").count())
     assert sorted(got) == _brute(data)[0]
+    assert sizes == sorted(set(sizes))  # each batch only appends
+    store = increment.Store(spark, folder)
+    built = increment.segment_index(store.read("sets")).drop("id", "batch")
+    assert rows(built) == rows(store.read("segments").drop("id", "batch"))
+    with pytest.raises(ValueError, match="more than one batch"):
+        increment.deduplicate_batch(spark.createDataFrame(data, schema), store)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_hot_segments_are_refined_without_loss(spark, seed):
+    rng = random.Random(seed)
+    common = [f"c{k:02d}" for k in range(16)]
+    data = []
+    for i in range(240):  # texts of one host that share most of their words; a third is all but equal
+        own = [f"w{rng.randint(0, 30)}" for _ in range(rng.randint(1, 2) if i % 3 == 0 else rng.randint(3, 8))]
+        data.append((i, f"2013{rng.randint(1, 4):02d}", None, "h", sorted({*common, *own})))
+    df = spark.createDataFrame(data, "id long, batch string, addr string, host string, words array<string>")
+    assert rows(increment.deduplicate_history(df, fan=5), "id", "repeats") == _brute(data)[0]
+
+
+def test_index_is_linear_and_probes_of_unlike_texts_hit_little(spark):
+    sets = lambda n, m, seed: [(bytes([seed]) + i.to_bytes(4, "big"), "h", [f"w{x}" for x in random.Random(seed * 10**6 + i).sample(range(2000), m)], "1", i) for i in range(n)]
+    schema = "set binary, host string, words array<string>, batch string, id long"
+    entries = [increment.segment_index(spark.createDataFrame(sets(1, m, 1), schema)).count() for m in (100, 200, 400, 800)]
+    assert entries == [26, 51, 101, 201]
+    hits = []
+    for n in (1500, 3000):
+        old, new = spark.createDataFrame(sets(n, 14, 1), schema), spark.createDataFrame(sets(n, 14, 2), schema)
+        probe = increment._probe_entries(new.withColumn("size", F.size("words")), "host", F.col("words"), 0.8)
+        hits.append(increment._hits(probe, increment.segment_index(old), 0.8).count())
+    assert hits[1] <= 2 * max(hits[0], 50)
 
 
 def test_history_of_nothing_and_hosts(spark):
@@ -162,7 +193,7 @@ def test_packing(spark):
     rng = random.Random(4)
     texts = ["word " * rng.choice([0, 1, 3, 40, 90]) for _ in range(400)] + [None, "", "word " * 700]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("size", F.lit("clash")).withColumn("key", F.lit(0))
-    out = packing.pack(df, "doc_id", "text", capacity=100, partitions=3).collect()
+    out = packing.pack(df, "doc_id", "text", capacity=100, stretch=150).collect()
     by = {}
     for r in out:
         by.setdefault(r.container, []).append((r.offset, r.length))
@@ -176,12 +207,22 @@ def test_packing(spark):
     for i in sizes:
         pieces = sorted((r.piece, r.start, r.length) for r in out if r.doc_id == i)
         assert sum(p[2] for p in pieces) == sizes[i] and len(pieces) == max(1, -(-sizes[i] // 100))
-    f = packing.fill(packing.pack(df, "doc_id", "text", capacity=100, partitions=1), 100).first()
+    f = packing.fill(packing.pack(df, "doc_id", "text", capacity=100), 100).first()
     large, middle = sum(n > 50 for n in sizes.values() if n <= 100), sum(25 < n <= 50 for n in sizes.values())
     assert f.containers <= large + -(-middle // 2) + 8 + 1  # the longest text fills seven and a rest
     assert packing.pack(df.filter("false"), "doc_id", "text", 100).count() == 0
 
 
+def test_packing_is_repeatable_and_splits_dense_cells(spark):
+    texts = ["the same words again"] * 500 + [f"text {i} " * (i % 9) for i in range(500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    once = rows(packing.pack(df.repartition(3), "doc_id", "text", 64, stretch=100))
+    assert once == rows(packing.pack(df.repartition(7, "text"), "doc_id", "text", 64, stretch=100))
+    parts = packing.stretches([(0, 30), (1, 500), (2, 40), (3, 70)], 100)
+    assert parts == [(0, 0, 1), (1, 1, 5), (2, 6, 1), (3, 7, 1)]
+    assert len({c >> 32 for *_, c, _ in once}) >= 10
+
+
 def test_hilbert_neighbours():
     import numpy as np
 
