@@ -1,31 +1,37 @@
 """Mixed timestamp notations and time zones, brought into one unambiguous form.
 
-Method: every value is read under each notation that fits it and gives a valid date; a value that more than one
-reading fits is a mixture. Per source, expectation-maximisation over the mixture weights of the notations lets the
+Method: every distinct value of a source is read under each notation that fits it and gives a valid date; a value that more
+than one reading fits is a mixture. Per source, expectation-maximisation over the mixture weights of the notations lets the
 values that only one reading fits speak for the others; the posterior chooses the reading, or the value is marked
-ambiguous. A known day order of a source is a prior that excludes the contrary readings.
+ambiguous. A known day order of a source is a prior: it divides the weight of the contrary reading by CONTRARY, and gives a
+value that only the contrary order can read the rival reading 'unreadable'. Without a known order the source's own
+values decide.
 
 The result is `yyyy`, `yyyy-MM` or `yyyy-MM-dd` without a time of day, else UTC `yyyy-MM-ddTHH:mm:ssZ`, fractions dropped.
 
 Defined cases: null, empty and blank values, words and impossible dates are 'unreadable' with a null norm; a time without a
 zone is local to the source's zone (UTC where the source has none): the earlier instant if it occurs twice, moved forward
-by the gap if it doesn't occur; a zone nobody knows makes the value unreadable; an unknown source has no prior;
-repeated rows stay; an empty table gives an empty result.
+by the gap if it doesn't occur; a zone nobody knows makes the value unreadable; an unknown source has no prior, and a null
+source is one of its own; repeated rows stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.operators.skew import heavy_keys, split_join
 from quillmark.runtime import staged
 
 #: Posterior from which a reading is taken; under it the value is marked ambiguous.
 SURE = 0.9
 ROUNDS = 25
+#: Prior odds of a source's known day order against the contrary one.
+CONTRARY = 1e6
 #: Sources with their notations, up to which the fitted weights (under 100 bytes each) are broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -66,6 +72,17 @@ def _groups(pattern: str) -> int:
     return re.compile(pattern).groups
 
 
+def _guard(v: Column, name: str) -> Column:
+    """What a notation needs at least, without a pattern: it spares most values most of the patterns."""
+    year_first, letter = v.substr(1, 4).rlike("^[0-9]{4}$"), v.substr(1, 1).rlike("[A-Za-z]")
+    kinds = {
+        "year": F.length(v) == 4, "year-month": year_first & (F.length(v) <= 7), "year-day of year": year_first & (F.length(v) == 8), "month/year": ~year_first & (F.length(v) <= 7),
+        "day.month.year": ~year_first & v.contains("."), "day/month/year": ~year_first & v.contains("/"), "month/day/year": ~year_first & v.contains("/"),
+        "month name year": letter, "month name day year": letter, "day month name year": ~year_first,
+    }
+    return kinds.get(name, year_first)
+
+
 def _parts(v: Column, name: str, pattern: str, parts: str) -> Column:
     """What the notation sees in the value, as strings ("" where it has no such part); null where it doesn't fit."""
     at = {p: k + 1 for k, p in enumerate(parts)}
@@ -77,7 +94,7 @@ def _parts(v: Column, name: str, pattern: str, parts: str) -> Column:
     fields = {"year": g(at["y"]), "month": month, "day": g(at["d"]) if "d" in at else F.lit(""), "nth": g(at["j"]) if "j" in at else F.lit("")}
     clock = {"hour": F.concat(g(b + 1), g(b + 4)), "minute": F.concat(g(b + 2), g(b + 5)), "second": F.concat(g(b + 3), g(b + 6)), "half": g(b + 7), "zone": g(b + 8)}
     fields |= clock if timed else dict.fromkeys(clock, F.lit(""))
-    return F.when(v.rlike(whole), F.struct(F.lit(name).alias("format"), *[c.alias(k) for k, c in fields.items()]))
+    return F.when(_guard(v, name) & v.rlike(whole), F.struct(F.lit(name).alias("format"), *[c.alias(k) for k, c in fields.items()]))
 
 
 def _norm(s: Column, zone_of_source: Column, known_zones: list[str]) -> Column:
@@ -128,64 +145,69 @@ def zone_names(spark: SparkSession) -> list[str]:
 
 
 def _em(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Mixture weights of one source from the counts of its sets of readings (a few dozen rows)."""
-    sets = [(s.split("|"), n) for s, n in zip(pdf["readings"], pdf["n"], strict=True)]
-    names = sorted({f for s, _ in sets for f in s})
+    """Mixture weights of one source from the counts of its sets of readings (a few dozen rows); a "!" marks a reading against the known order."""
+    sets = [([(f.rstrip("!"), 1 / CONTRARY if f.endswith("!") else 1.0) for f in s.split("|")], n) for s, n in zip(pdf["readings"], pdf["n"], strict=True)]
+    names = sorted({f for s, _ in sets for f, _ in s})
     w = dict.fromkeys(names, 1 / len(names))
     for _ in range(ROUNDS):
         got = dict.fromkeys(names, 1e-3)  # smoothing: a notation never seen alone keeps a little weight
         for s, n in sets:
-            total = sum(w[f] for f in s)
-            for f in s:
-                got[f] += n * w[f] / total
+            total = sum(w[f] * prior for f, prior in s)
+            for f, prior in s:
+                got[f] += n * w[f] * prior / total
         total = sum(got.values())
         w = {f: x / total for f, x in got.items()}
     return pd.DataFrame({"source": pdf["source"].iloc[0], "format": names, "weight": [w[f] for f in names]})
 
 
-def normalise(df: DataFrame, locale: DataFrame, keys: list[str], value: str = "value", source: str = "source") -> DataFrame:
-    """keys, source, value, format, norm, status of every row. locale: (source, time_zone, day_order), one row per source.
-
-    status is 'read', 'ambiguous' or 'unreadable'. A broadcast of locale or of the fitted weights happens only under
-    Spark's own size threshold or BROADCAST_ROWS; the number of sources may grow.
-    """
-    spark = df.sparkSession
+def _readings(x: DataFrame, spark: SparkSession) -> DataFrame:
+    """x(v, time_zone, day_order) with r: every reading of the value (format, norm, prior)."""
     zones = zone_names(spark)
-    where = locale.select(F.col("source").alias("_s"), "time_zone", F.lower("day_order").alias("day_order")).dropDuplicates(["_s"])
-    where = where.withColumn("time_zone", F.when(F.col("time_zone").isin(*zones, "UTC", "GMT"), F.col("time_zone")))
-    x = df.select(*keys, df[source].alias("source"), df[value].alias("value"))
-    x = x.join(where, x["source"] == where["_s"], "left").withColumn("v", F.trim(F.regexp_replace("value", r"[\s ]+", " ")))
-    order = F.col("day_order")
-    fits = []
-    for name, pattern, parts in DATES:
-        r = _parts(F.col("v"), name, pattern, parts)
-        if name == "day/month/year":
-            r = F.when(order.isNull() | (order != "mdy"), r)
-        if name == "month/day/year":
-            r = F.when(order.isNull() | (order != "dmy"), r)
-        fits.append(r)
+    contrary = {"day/month/year": "mdy", "month/day/year": "dmy"}
+    fits = [_parts(F.col("v"), name, pattern, parts) for name, pattern, parts in DATES]
     x = x.withColumn("fits", F.array_compact(F.array(*fits)))
-    read = F.transform("fits", lambda s: F.struct(s["format"].alias("format"), _norm(s, F.col("time_zone"), zones).alias("norm")))
+    zone = F.when(F.col("time_zone").isin(*zones, "UTC", "GMT"), F.col("time_zone"))
+    prior = lambda s: functools.reduce(lambda e, kv: e.when((s["format"] == kv[0]) & (F.col("day_order") == kv[1]), 1 / CONTRARY), contrary.items(), F).otherwise(1.0)
+    read = F.transform("fits", lambda s: F.struct(s["format"].alias("format"), _norm(s, zone, zones).alias("norm"), prior(s).alias("prior")))
     digits, counts = F.col("v").try_cast("long"), []
     for name, pattern, unit in (("seconds", r"^\d{9,10}$", 1), ("milliseconds", r"^\d{12,13}$", 1000)):
         s = F.when(F.col("v").rlike(pattern), F.floor(digits / unit))
-        counts.append(F.struct(F.lit(name).alias("format"), iso(s).alias("norm")))
-    x = x.withColumn("r", F.filter(F.concat(read, F.array(*counts)), lambda s: s["norm"].isNotNull()))
-    x = x.withColumn("same", F.size(F.array_distinct(F.transform("r", lambda s: s["norm"]))))
-    x = x.withColumn("readings", F.array_join(F.transform("r", lambda s: s["format"]), "|")).drop("v", "_s", "time_zone", "day_order", "fits")
-    x = staged(x, "readings")  # read three times below; the parsing is the costly part
+        counts.append(F.struct(F.lit(name).alias("format"), iso(s).alias("norm"), F.lit(1.0).alias("prior")))
+    x = x.withColumn("r", F.filter(F.concat(read, F.array(*counts)), lambda s: s["norm"].isNotNull())).drop("fits")
+    none = F.array(F.struct(F.lit("unreadable").alias("format"), F.lit(None).cast("string").alias("norm"), F.lit(1.0).alias("prior")))
+    return x.withColumn("r", F.when((F.size("r") > 0) & ~F.exists("r", lambda s: s["prior"] == 1), F.concat("r", none)).otherwise(F.col("r")))
 
-    sets = x.filter("readings <> ''").groupBy("source", "readings").agg(F.count(F.lit(1)).alias("n"))
+
+def normalise(df: DataFrame, locale: DataFrame, keys: list[str], value: str = "value", source: str = "source") -> DataFrame:
+    """keys, source, value, format, norm, status, posterior of every row. locale: (source, time_zone, day_order), one row per source.
+
+    status is 'read', 'ambiguous' or 'unreadable'; posterior is that of the norm, null where there is none. Values are
+    parsed once per source. A broadcast of locale or of the fitted weights happens only under Spark's own size threshold
+    or BROADCAST_ROWS; the number of sources may grow.
+    """
+    rows = df.select(*[df[k].alias(f"k{n}") for n, k in enumerate(keys)], df[source].alias("source"), df[value].alias("value"))
+    rows = rows.withColumn("pool", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")))
+    where = locale.select(F.concat(F.lit("="), F.col("source")).alias("pool"), "time_zone", F.lower("day_order").alias("day_order")).dropDuplicates(["pool"])
+    x = rows.filter("value is not null").groupBy("pool", "value").agg(F.count(F.lit(1)).alias("n")).join(where, "pool", "left")
+    x = x.withColumn("v", F.trim(F.regexp_replace("value", r"[\s ]+", " ")))
+    x = _readings(x, df.sparkSession).select("pool", "value", "n", "r")
+    name = F.array_join(F.transform("r", lambda s: F.concat(s["format"], F.when(s["prior"] < 1, "!").otherwise(""))), "|")
+    x = staged(x.withColumn("readings", name), "readings")  # read twice; the parsing is the costly part
+
+    sets = x.filter("readings <> ''").groupBy(F.col("pool").alias("source"), "readings").agg(F.sum("n").alias("n"))
     weights = sets.groupBy("source").applyInPandas(_em, "source string, format string, weight double")
-    weights = weights.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("format", "weight"))).alias("w"))
-    clear = x.filter("same <= 1").select(*keys, "source", "value", F.get("r", F.lit(0))["format"].alias("format"), F.get("r", F.lit(0))["norm"].alias("norm"))
-    mixed = x.filter("same > 1")
+    weights = weights.groupBy(F.col("source").alias("pool")).agg(F.map_from_entries(F.collect_list(F.struct("format", "weight"))).alias("w"))
     if weights.count() <= BROADCAST_ROWS:
         weights = F.broadcast(weights)
-    mixed = mixed.join(weights.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
-    scored = F.transform("r", lambda s: F.struct(F.coalesce(F.try_element_at("w", s["format"]), F.lit(0.0)).alias("p"), s["format"].alias("format"), s["norm"].alias("norm")))
-    mixed = mixed.withColumn("c", F.array_max(scored)).withColumn("total", F.aggregate(scored, F.lit(0.0), lambda a, s: a + s["p"]))
-    sure = F.col("c")["p"] >= SURE * F.col("total")
-    mixed = mixed.select(*keys, "source", "value", F.when(sure, F.col("c")["format"]).alias("format"), F.when(sure, F.col("c")["norm"]).alias("norm"), F.lit(True).alias("mixed"))
-    both = clear.withColumn("mixed", F.lit(False)).unionByName(mixed)
-    return both.withColumn("status", F.when(F.col("norm").isNotNull(), "read").when(F.col("mixed"), "ambiguous").otherwise("unreadable")).drop("mixed")
+    scored = F.transform("r", lambda s: F.struct((F.try_element_at("w", s["format"]) * s["prior"]).alias("p"), s["format"].alias("format"), s["norm"].alias("norm")))
+    j = x.join(weights, "pool", "left").withColumn("c", scored).withColumn("best", F.array_max("c"))
+    mass = lambda keep: F.aggregate(F.filter("c", keep), F.lit(0.0), lambda a, s: a + s["p"])
+    j = j.withColumn("posterior", F.try_divide(mass(lambda s: s["norm"].eqNullSafe(F.col("best.norm"))), mass(lambda s: F.lit(True))))
+    sure, void = (F.size("r") == 0) | (F.col("posterior") >= SURE), F.col("best.norm").isNull()
+    status = F.when(void & sure, "unreadable").when(sure, "read").otherwise("ambiguous")
+    j = j.select("pool", "value", "n", F.when(sure & ~void, F.col("best.format")).alias("format"), F.when(sure, F.col("best.norm")).alias("norm"), status.alias("status"), F.when(~void, F.col("posterior")).alias("posterior"))
+    heavy = heavy_keys(x, rows.count()).select("pool", "value", "n")
+    got = split_join(rows, j.drop("n"), ["pool", "value"], heavy)
+    lacking = {"format": "string", "norm": "string", "status": "string", "posterior": "double"}
+    null = rows.filter("value is null").select("*", *[F.lit("unreadable" if c == "status" else None).cast(t).alias(c) for c, t in lacking.items()])
+    return got.unionByName(null).select(*[F.col(f"k{n}").alias(k) for n, k in enumerate(keys)], "source", "value", *lacking)

@@ -28,14 +28,22 @@ def p5_values(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d, 1).groupBy("tbl", "field", "piece").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dates(spark: SparkSession, d: str) -> DataFrame:
-    locale = table(spark, d, "publisher_locale").select(F.col("publisher_id").cast("string").alias("source"), "time_zone", "day_order")
+def dates_of(spark: SparkSession, d: str) -> DataFrame:
     paper = table(spark, d, "rd_paper").select(F.lit("rd_paper").alias("tbl"), "id", F.col("pubdate").alias("value"), F.lit("rd_paper").alias("source"))
     ref = table(spark, d, "rd_paper_reference").select(
         F.lit("rd_paper_reference").alias("tbl"), "id", F.col("publication_date").alias("value"), F.col("publisher_id").cast("string").alias("source")
     )
-    own = spark.createDataFrame([("rd_paper", "UTC", "mdy")], "source string, time_zone string, day_order string")
-    return normalise(paper.unionByName(ref), locale.unionByName(own), keys=["tbl", "id"])
+    return paper.unionByName(ref)
+
+
+def orders(spark: SparkSession, d: str) -> DataFrame:
+    """What is known of each source: the publishers' table, and month first in rd_paper."""
+    locale = table(spark, d, "publisher_locale").select(F.col("publisher_id").cast("string").alias("source"), "time_zone", "day_order")
+    return locale.unionByName(spark.createDataFrame([("rd_paper", "UTC", "mdy")], "source string, time_zone string, day_order string"))
+
+
+def _dates(spark: SparkSession, d: str) -> DataFrame:
+    return normalise(dates_of(spark, d), orders(spark, d), keys=["tbl", "id"])
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

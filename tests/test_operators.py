@@ -150,6 +150,28 @@ def test_day_order_is_learned_or_marked(spark):
     assert got == {1000: ("2010-04-03", "read"), 1001: (None, "ambiguous"), 1002: ("2010-05-05", "read")}
 
 
+def test_known_orders_are_priors_and_the_values_of_a_source_decide_without_them(spark):
+    """On the whole table: what the mixture decides, with and without the publishers' known orders."""
+    from quillmark.plans.general import dates_of, orders
+
+    rows_, known = dates_of(spark, DATA), orders(spark, DATA)
+    slash = F.col("value").rlike("^ *(0?[1-9]|1[0-2])/(0?[1-9]|1[0-2])/[0-9]{4} *$")
+    both = {}
+    for name, locale in (("known", known), ("learned", known.withColumn("day_order", F.lit(None).cast("string")))):
+        got = timestamps.normalise(rows_, locale, ["tbl", "id"])
+        assert got.count() == rows_.count()
+        both[name] = {(r.tbl, r.id): (r.norm, r.status) for r in got.filter(slash).collect()}
+        assert got.filter("status = 'read' and not posterior >= 0.9").count() == 0
+    assert len(both["known"]) > 10 and {s for _, s in both["known"].values()} == {"read"}
+    assert both["learned"] == both["known"]  # enough values of each source have one reading alone
+    contrary = spark.createDataFrame([(i, "25/12/2010", "1") for i in range(50)] + [(99, "03/04/2010", "1")], "id int, value string, source string")
+    got = {r.id: (r.norm, r.status) for r in timestamps.normalise(contrary, _locale(spark), ["id"]).collect()}
+    assert got[0] == (None, "unreadable") and got[99] == ("2010-03-04", "read")
+    odd = spark.createDataFrame([(1, "13/02/2010", None), (2, "14/02/2010", None), (3, "03/02/2010", None), (4, None, None), (4, None, None)], "id int, value string, source string")
+    got = timestamps.normalise(odd, _locale(spark), ["id"])
+    assert got.count() == 5 and got.filter("id = 3").first().norm == "2010-02-03"
+
+
 def test_numbered_equals_row_number(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 11).cast("string")).alias("k"))
     got = sorted((r.k or "", r.n) for r in skew.numbered(df, "k", "id", "n").collect())
