@@ -10,22 +10,23 @@ from quillmark.operators.timestamps import normalise
 from quillmark.runtime import table
 
 _REGISTRY = {"synonym": ",;|", "keyword": ",;|", "resource_type_ids": ",;|"}
-_HEADINGS = {"mesh_headings": ";|"}
+#: Whether a comma ends a heading or belongs to it, the dictionary of headings decides.
+_HEADINGS = {"mesh_headings": (";|", ",")}
 
 
-def _pieces(spark: SparkSession, d: str, least: int) -> DataFrame:
+def pieces(spark: SparkSession, d: str, least: int, guided: bool = True) -> DataFrame:
     reg = unpack(table(spark, d, "registry"), "id", _REGISTRY, least)
-    ref = unpack(table(spark, d, "rd_paper_reference"), "id", _HEADINGS, least)
+    ref = unpack(table(spark, d, "rd_paper_reference"), "id", _HEADINGS, least, guided)
     cols = ["field", "id", "pos", "piece"]
     return reg.select(F.lit("registry").alias("tbl"), *cols).unionByName(ref.select(F.lit("rd_paper_reference").alias("tbl"), *cols))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _pieces(spark, d, 2)
+    return pieces(spark, d, 2)
 
 
 def p5_values(spark: SparkSession, d: str) -> DataFrame:
-    return _pieces(spark, d, 1).groupBy("tbl", "field", "piece").agg(F.count(F.lit(1)).alias("n"))
+    return pieces(spark, d, 1).groupBy("tbl", "field", "piece").agg(F.count(F.lit(1)).alias("n"))
 
 
 def dates_of(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +69,7 @@ SELECT '{tbl}' AS tbl, '{field}' AS field, id, unnest(range(1, len(p) + 1)) AS p
 
 
 _PIECES = " UNION ALL ".join(
-    [_sql_pieces("registry", f, s) for f, s in _REGISTRY.items()] + [_sql_pieces("rd_paper_reference", f, s) for f, s in _HEADINGS.items()]
+    [_sql_pieces("registry", f, s) for f, s in _REGISTRY.items()] + [_sql_pieces("rd_paper_reference", f, s) for f, (s, _) in _HEADINGS.items()]
 )
 SQL = {
     "p5_found": f"WITH a AS ({_PIECES}) SELECT tbl, field, id, CAST(pos AS INTEGER) AS pos, piece FROM a QUALIFY count(*) OVER (PARTITION BY tbl, field, id) >= 2",

@@ -96,17 +96,44 @@ PACKED = [
 ]
 
 
-@pytest.mark.parametrize(("field", "seps", "expected"), PACKED)
-def test_packed_fields(field, seps, expected):
-    assert packed.segment(field, seps) == expected
-    assert packed.segment(field, seps, packed._automaton(["a", "b", '"a, b"', "Sleep", "open"])) == expected
+@pytest.mark.parametrize(("field", "seps", "expected"), [*PACKED, ('a "b; c" d; e', ";", ['a "b; c" d', "e"]), ("a\u00a0;\u2028b", ";", ["a", "b"])])
+def test_packed_fields(spark, field, seps, expected):
+    assert [p for p, _ in packed.split_quoted(field, seps)] == expected
+    df = spark.createDataFrame([(1, field)], "id long, f string")
+    assert [r.piece for r in packed.unpack(df, "id", {"f": seps}).orderBy("pos").collect()] == expected
 
 
 def test_packed_tables(spark):
-    df = spark.createDataFrame([(1, "a; b"), (2, None), (3, ""), (4, "c"), (5, "x;" * 20_000)], "id long, f string").withColumn("pos", F.lit("clash")).withColumn("v", F.lit(1))
+    df = spark.createDataFrame([(1, "a; b"), (2, None), (3, ""), (4, "c"), (5, "x;" * 20_000), (1, "a; b")], "id long, f string").withColumn("pos", F.lit("clash")).withColumn("v", F.lit(1))
     got = packed.unpack(df, "id", {"f": ";"}, least=2)
-    assert {(r.id, r.n) for r in got.groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect()} == {(1, 2), (5, 20_000)}
-    assert packed.unpack(df.filter("false"), "id", {"f": ";"}).count() == 0
+    assert {(r.id, r.n) for r in got.groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect()} == {(1, 4), (5, 20_000)}
+    for seps in (";", (";", ",")):
+        assert packed.unpack(df.filter("false"), "id", {"f": seps}).count() == 0
+
+
+def test_the_dictionary_decides_on_weak_separators(spark, monkeypatch):
+    data = ["Cells, Animal; Sleep", "Sleep|Cells, Animal", "Cells, Animal", "Sleep; Mice", "Mice, Sleep, Rats", "Rats", "Rats; Mice; Sleep", '"Mice, Sleep"', "Sleep", "Mice", "Mice, Cells, Animal", None, "Rats,, Mice;"]
+    data += ["Sleep; Mice; Rats"] * 20
+    df = spark.createDataFrame(list(enumerate(data)), "id long, f string")
+    expected = {0: ["Cells, Animal", "Sleep"], 2: ["Cells, Animal"], 4: ["Mice", "Sleep", "Rats"], 7: ["Mice, Sleep"], 10: ["Mice", "Cells, Animal"], 12: ["Rats", "Mice"]}
+    for shard in (packed.SHARD_BYTES, 16):  # one automaton, or many
+        monkeypatch.setattr(packed, "SHARD_BYTES", shard)
+        got = {}
+        for r in packed.unpack(df, "id", {"f": (";|", ",")}).orderBy("id", "pos").collect():
+            got.setdefault(r.id, []).append(r.piece)
+        assert {i: got[i] for i in expected} == expected
+    off = {r.id for r in packed.unpack(df, "id", {"f": (";|", ",")}, guided=False).filter("piece = 'Cells'").collect()}
+    assert off == {0, 1, 2, 10}
+
+
+def test_the_dictionary_decides_on_the_tables(spark):
+    """Whole tables: which headings come out otherwise without the dictionary."""
+    from quillmark.plans.general import pieces
+
+    on, off = (pieces(spark, DATA, 1, guided=g).filter("tbl = 'rd_paper_reference'") for g in (True, False))
+    headings = on.filter("piece like '%, %'").select("id").distinct().count()
+    changed = on.exceptAll(off).select("id").distinct().count()
+    assert changed >= headings * 0.9 > 50
 
 
 STAMPS = [
