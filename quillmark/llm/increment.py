@@ -28,17 +28,19 @@ smallest id, is taken.
 
 from __future__ import annotations
 
-from urllib.parse import quote
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmark.operators.skew import heavy_keys, split_join
-from quillmark.runtime import clean, stage_path, staged
+from quillmark.runtime import stage_path, staged
 
 SHARE = 0.8
 #: Index entries of one key that a probe meets at once; keys with more are refined, after their FIRST entries.
 FAN, FIRST = 1000, 32
+#: Rows of small batches that one step over a history takes together: it bounds what batches of a step may have to settle among themselves.
+STEP_ROWS = 20_000
 
 
 def host(url: Column) -> Column:
@@ -101,7 +103,7 @@ def _allowed(share: float) -> Column:
 def _verified(hits: DataFrame, new: DataFrame, old: DataFrame, share: float) -> DataFrame:
     """The hits (a, b, ...) whose whole sets are within the bounded distance."""
     hits = hits.join(new.select(F.col("set").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa")), "a")
-    hits = hits.join(old.select(F.col("set").alias("b"), F.col("host").alias("hb"), F.col("words").alias("wb")), "b")
+    hits = hits.withColumnRenamed("b", "set").join(old.select("set", F.col("host").alias("hb"), F.col("words").alias("wb")), "set").withColumnRenamed("set", "b")
     common, both = F.size(F.array_intersect("wa", "wb")), F.size("wa") + F.size("wb")
     close = both - 2 * common <= (both - common) * (1 - share) + 1e-9
     return hits.filter((F.col("ha") == F.col("hb")) & close).drop("ha", "hb", "wa", "wb")
@@ -116,20 +118,25 @@ def _hits(probe: DataFrame, index: DataFrame, share: float) -> DataFrame:
 def nearest_sets(new: DataFrame, segments: DataFrame, old: DataFrame, share: float = SHARE, fan: int = FAN) -> DataFrame:
     """(set, p): for each set of new the earliest (batch, id) of the similar sets of old.
 
-    new: (set, host, words); old: (set, host, words, batch, id); segments: segment_index(old).
+    new: (set, host, words); old: (set, host, words, batch, id); segments: segment_index(old). Stored tables are bucketed
+    by key and by set, so that only what belongs to new is shuffled.
     """
-    sized = new.select("set", "host", "words", F.size("words").alias("size"))
+    shared = new.join(old.select("host").distinct(), "host", "left_semi")  # a host without history has no similar sets
+    sized = staged(shared.select("set", "host", "words", F.size("words").alias("size")), "sized")
     probe = _probe_entries(sized, "host", F.col("words"), share).select("key", "set", "size", "at", "len").withColumn("cuts", _no_cuts())
-    met = staged(segments.join(probe.select("key").distinct(), "key", "left_semi"), "met").withColumn("cuts", _no_cuts())
+    met = segments.withColumn("cuts", _no_cuts())
     found = []
     pair = ["a", "b", "batch", "id"]
     while True:
-        hot = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fan).select("key")
-        best = _verified(_hits(probe, met.join(hot, "key", "left_anti"), share).select(*pair).distinct(), new, old, share)
+        hot = staged(met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fan).select("key"), "hot")
+        many = hot.limit(1).count() > 0
+        calm = met.join(hot, "key", "left_anti") if many else met
+        best = _verified(_hits(probe, calm, share).select(*pair).distinct(), new, old, share)
         found.append(best.groupBy("a").agg(F.min(F.struct("batch", "id")).alias("p")))
-        if not hot.limit(1).count():
+        if not many:
             break
-        mine, theirs = probe.join(hot, "key", "left_semi"), met.join(hot, "key", "left_semi")
+        mine, theirs = staged(probe.join(hot, "key", "left_semi"), "mine"), met.join(hot, "key", "left_semi")
+        theirs = staged(theirs.join(mine.select("key").distinct(), "key", "left_semi"), "theirs")
         turn = F.row_number().over(Window.partitionBy("key").orderBy("batch", "id"))
         first = theirs.withColumn("turn", turn).filter(F.col("turn") <= FIRST)
         settled = staged(_verified(_hits(mine, first, share), new, old, share).groupBy("key", "a").agg(F.min(F.struct("batch", "id")).alias("p")), "settled")
@@ -162,32 +169,50 @@ def segment_index(sets: DataFrame, share: float = SHARE) -> DataFrame:
 
 
 class Store:
-    """What is kept of accepted records, in a folder: addresses, word sets and the segments of these, appended batch by batch.
+    """What is kept of accepted records, in a folder: nodes by address, word sets by their digest, segments by their key, appended step by step.
 
-    A batch's part is written whole into a folder of its own, so that a step that failed can be done again.
+    Each table is bucketed by its key, so that a batch is shuffled to it and not the other way round. The number of buckets is
+    part of the store's place: it must be opened with the number that it was made with. Tables of the catalogue only
+    name the folder; a new session names them again.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, id_type: str = "bigint"):
+    BUCKETED = {"nodes": "addr", "sets": "set", "segments": "key"}
+
+    def __init__(self, spark: SparkSession, folder: str, id_type: str = "bigint", buckets: int | None = None):
         self.spark, self.folder = spark, folder
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         place = f"batch string, id {id_type}"
         self.schemas = {
-            "addresses": f"addr string, {place}",
+            # p is the partner of a node that repeats something, null for an accepted one.
+            "nodes": f"node binary, n bigint, addr string, set binary, {place}, p struct<{place.replace(' ', ':').replace(',:', ', ')}>",
             "sets": f"set binary, host string, words array<string>, {place}",
             "segments": f"key bigint, set binary, size int, seg int, at int, len int, {place}",
         }
-
-    def read(self, name: str) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return self.spark.createDataFrame([], self.schemas[name])
-        return self.spark.read.schema(self.schemas[name]).option("recursiveFileLookup", "true").parquet(str(path.toString()))
-
-    def append(self, name: str, part: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder}/{name}/part-{part}")
-
-
-def _nodes(rows: DataFrame) -> DataFrame:
-    """One row per id: (id, batch, addr, host, words, set, node); nodes without address and set match nothing and are left out."""
+        self.name = "quillmark_" + hashlib.md5(folder.encode()).hexdigest()
+        for table, schema in self.schemas.items():
+            key = self.BUCKETED[table]
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name}_{table} ({schema}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{folder}/{table}'"
+            )
+
+    def read(self, table: str) -> DataFrame:
+        self.spark.catalog.refreshTable(f"{self.name}_{table}")
+        return self.spark.table(f"{self.name}_{table}")
+
+    def append(self, table: str, df: DataFrame) -> None:
+        key = self.BUCKETED[table]
+        names = [c.name for c in self.spark.table(f"{self.name}_{table}").schema]
+        dealt = df.select(*names).repartition(self.buckets, key)
+        dealt.write.mode("append").format("parquet").bucketBy(self.buckets, key).sortBy(key).saveAsTable(f"{self.name}_{table}")
+
+    def close(self) -> None:
+        """Forgets the names; the folder stays."""
+        for table in self.schemas:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{table}")
+
+
+def _rows(rows: DataFrame) -> DataFrame:
+    """One row per id: (id, batch, addr, host, words, set, node); rows without address and set match nothing and are left out."""
     rows = rows.filter("id is not null and batch is not null").select("id", "batch", "addr", "host", "words")
     rows = rows.groupBy("id").agg(F.min(F.struct("batch", "addr", "host", "words")).alias("r")).select("id", "r.*")
     words = F.when((F.col("host") != "") & (F.size("words") > 0), F.col("words"))
@@ -196,67 +221,120 @@ def _nodes(rows: DataFrame) -> DataFrame:
     digest = F.unhex(F.md5(F.concat_ws(" ", "host", F.array_join("words", " "))))
     rows = rows.withColumn("set", F.when(F.col("words").isNotNull(), digest))
     node = F.unhex(F.md5(F.concat(F.coalesce("addr", F.lit("")), F.lit(" "), F.coalesce(F.hex("set"), F.lit("")))))
-    return rows.filter("addr is not null or set is not null").withColumn("node", node)
+    rows = rows.filter("addr is not null or set is not null").withColumn("node", node)
+    return staged(rows, "rows")
 
 
-def _step(nodes: DataFrame, store: Store, part: str, share: float, fan: int) -> DataFrame:
-    """Partners (batch, node, n, p) of the nodes of one batch that repeat something stored; the others are stored."""
-    sets = nodes.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words"))
-    by_set = nearest_sets(sets, store.read("segments"), store.read("sets"), share, fan)
-    by_addr = nodes.filter("addr is not null").select("addr").distinct().join(store.read("addresses"), "addr").select("addr", F.struct("batch", "id").alias("q"))
-    met = nodes.join(by_addr, "addr", "left").join(by_set, "set", "left").withColumn("p", F.least("q", "p")).drop("q")
-    met = staged(met, "partners")
-    new = met.filter("p is null")
-    fresh = staged(new.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words"), F.first("batch").alias("batch"), F.min("id").alias("id")), "fresh")
-    store.append("addresses", part, new.filter("addr is not null").groupBy("addr").agg(F.first("batch").alias("batch"), F.min("id").alias("id")))
-    store.append("sets", part, fresh)
-    store.append("segments", part, segment_index(fresh, share))
-    return met.filter("p is not null").select("batch", "node", "n", "p")
+def _nodes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("batch", "node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("addr").alias("addr"), F.first("set").alias("set"))
+
 
+def _sets(rows: DataFrame) -> DataFrame:
+    return rows.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words"))
 
-def _collapsed(rows: DataFrame) -> DataFrame:
-    first = lambda c: F.first(c).alias(c)
-    return rows.groupBy("batch", "node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), first("addr"), first("set"), first("host"), first("words"))
 
+def similar_sets(sets: DataFrame, share: float = SHARE) -> DataFrame:
+    """(a, b) of all similar sets(set, host, words) in both directions, and of each with itself."""
+    hosts = sets.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")  # a host with one set has no pair
+    some = staged(sets.join(hosts.select("host"), "host", "left_semi"), "some")
+    sized = some.select("set", "host", "words", F.size("words").alias("size"))
+    index = segment_index(some.withColumns({"batch": F.lit(""), "id": F.lit(0)}), share)
+    hits = _hits(_probe_entries(sized, "host", F.col("words"), share), index, share).filter("a <> b").select("a", "b").distinct()
+    return _verified(hits, some, some, share).unionByName(sets.select(F.col("set").alias("a"), F.col("set").alias("b")))
 
-def _expanded(rows: DataFrame, partners: DataFrame) -> DataFrame:
+
+def _settled(nodes: DataFrame, sets: DataFrame, share: float) -> DataFrame:
+    """nodes(..., p) of several batches, p being the stored partner: with the partners among themselves.
+
+    A node is accepted once no earlier neighbour is accepted, and repeats the earliest one that is; it waits while one that
+    is earlier is open. Chains of repeats bound the rounds. A hub (address or word set) knows its earliest neighbours, so
+    that the nodes of a hub never meet each other.
+    """
+    links = staged(similar_sets(sets, share), "links")
+    state = nodes.withColumn("accepted", F.when(F.col("p").isNotNull(), F.lit(False)))
+    while True:
+        live = staged(state, "state")
+        first = lambda c: [F.min(F.when(F.col("accepted"), F.struct("batch", "id"))).alias(f"q_{c}"), F.min(F.when(F.col("accepted").isNull(), F.col("batch"))).alias(f"open_{c}")]
+        some = live.filter("accepted is null or accepted")
+        by_addr = some.filter("addr is not null").groupBy("addr").agg(*first("addr"))
+        own = some.filter("set is not null").groupBy(F.col("set").alias("b")).agg(*first("own"))
+        by_set = links.join(own, "b").groupBy(F.col("a").alias("set")).agg(F.min("q_own").alias("q_set"), F.min("open_own").alias("open_set"))
+        state = live.join(by_addr, "addr", "left").join(by_set, "set", "left")
+        q, wait = F.least("q_addr", "q_set"), F.coalesce(F.least("open_addr", "open_set") < F.col("batch"), F.lit(False))
+        hit = F.coalesce(q["batch"] < F.col("batch"), F.lit(False))
+        accepted = F.when(F.col("accepted").isNotNull(), F.col("accepted")).when(hit, False).when(wait, F.lit(None)).otherwise(True)
+        partner = F.when(~F.coalesce(F.col("accepted"), F.lit(False)) & hit, F.least("p", q)).otherwise(F.col("p"))
+        if not live.filter("accepted is null").limit(1).count():
+            # All is decided: the earliest accepted neighbour of each repeat.
+            return state.withColumn("p", partner).select(*nodes.columns)
+        state = state.withColumn("accepted", accepted).select(*nodes.columns, "accepted")
+
+
+def _step(nodes: DataFrame, sets: DataFrame, store: Store, share: float, fan: int, several: bool, first: bool) -> DataFrame:
+    """The nodes of one or several batches with their partners p; what is accepted is appended to the store."""
+    if first:
+        met = nodes.withColumn("p", F.lit(None).cast(f"struct<batch: string, id: {dict(nodes.dtypes)['id']}>"))
+    else:
+        by_set = nearest_sets(sets, store.read("segments"), store.read("sets"), share, fan)
+        old = store.read("nodes").filter("p is null and addr is not null")
+        by_addr = nodes.filter("addr is not null").select("addr").distinct().join(old.select("addr", F.struct("batch", "id").alias("q")), "addr").groupBy("addr").agg(F.min("q").alias("q"))
+        met = nodes.join(by_addr, "addr", "left").join(by_set, "set", "left").withColumn("p", F.least("q", "p")).drop("q")
+    met = met.select("node", "n", "addr", "set", "batch", "id", "p")
+    met = staged(_settled(met, sets, share) if several else met, "met")
+    new = met.filter("p is null and set is not null").groupBy("set").agg(F.min(F.struct("batch", "id")).alias("f")).select("set", "f.*")
+    fresh = staged(sets.join(new, "set"), "fresh")
+    store.append("nodes", met)
+    store.append("sets", fresh)
+    store.append("segments", segment_index(fresh, share))
+    return met
+
+
+def _expanded(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    partners = nodes.filter("p is not null").select("batch", "node", "n", "p")
     heavy = heavy_keys(partners, rows.count())
     return split_join(rows.select("id", "batch", "node"), partners, ["batch", "node"], heavy).select("id", F.col("p.id").alias("repeats"))
 
 
 def deduplicate_batch(rows: DataFrame, store: Store, share: float = SHARE, fan: int = FAN) -> DataFrame:
-    """(id, repeats) of the rows (id, batch, addr, host, words) of one new batch that repeat an accepted row of an earlier one.
+    """(id, repeats) of the rows (id, batch, addr, host, words) of a new batch that repeat an accepted row of an earlier one.
 
-    Nothing but the store is read of earlier batches; what the batch brings is appended to it.
+    Nothing but the store is read of earlier batches; what the batch brings is appended to it. rows may hold several
+    batches, all later than those of the store.
     """
-    rows = staged(_nodes(rows), "rows")
-    batches = [r.batch for r in rows.select("batch").distinct().limit(2).collect()]
-    if len(batches) > 1:
-        raise ValueError(f"rows of more than one batch: {batches}")
+    rows = _rows(rows)
+    batches = rows.select("batch").distinct().count()
     if not batches:
         return rows.select("id", F.col("id").alias("repeats"))
-    partners = _step(staged(_collapsed(rows), "nodes"), store, quote(batches[0], safe=""), share, fan)
-    return _expanded(rows, staged(partners, "found"))
+    first = not store.read("nodes").limit(1).count()
+    return _expanded(rows, _step(staged(_nodes(rows), "nodes"), staged(_sets(rows), "sets"), store, share, fan, batches > 1, first))
 
 
-def deduplicate_history(rows: DataFrame, share: float = SHARE, fan: int = FAN) -> DataFrame:
+def deduplicate_history(rows: DataFrame, share: float = SHARE, fan: int = FAN, step_rows: int = STEP_ROWS) -> DataFrame:
     """(id, repeats): every row that repeats an accepted row, batch after batch over a store that begins empty.
 
-    The steps are as many as there are batches; each reads the nodes of its batch and the store.
+    A step takes one batch, or several small ones up to step_rows rows, and reads nothing but their rows and the store.
     """
     spark = rows.sparkSession
-    rows = staged(_nodes(rows), "rows")
-    folder = stage_path(spark, "nodes")
-    nodes = _collapsed(rows).withColumn("part", F.col("batch"))
-    nodes.write.partitionBy("part").parquet(folder)
-    nodes = spark.read.schema(nodes.schema).parquet(folder)
-    store = Store(spark, stage_path(spark, "store"), dict(rows.dtypes)["id"])
-    found = [_step(nodes.filter(F.col("part") == b).drop("part"), store, f"{k:06d}", share, fan) for k, b in enumerate(sorted(r.batch for r in rows.select("batch").distinct().collect()))]
-    if not found:
+    rows = _rows(rows)
+    counts = rows.groupBy("batch").agg(F.count(F.lit(1)))
+    steps: list[list[str]] = []
+    held = 0
+    for batch, n in sorted(tuple(r) for r in counts.collect()):
+        if not steps or held + n > step_rows:
+            steps.append([])
+            held = 0
+        steps[-1].append(batch)
+        held += n
+    if not steps:
         return rows.select("id", F.col("id").alias("repeats"))
-    partners = found[0]
-    for f in found[1:]:
-        partners = partners.unionByName(f)
-    partners = staged(partners, "found")
-    clean(spark, store.folder)
-    return _expanded(rows, partners)
+    where = spark.createDataFrame([(b, k) for k, s in enumerate(steps) for b in s], "batch string, part int")  # as many rows as batches
+    folder, parts = stage_path(spark, "parts"), rows.join(F.broadcast(where), "batch")
+    parts.hint("rebalance", "part").write.partitionBy("part").parquet(folder)
+    parts = spark.read.schema(parts.schema).parquet(folder)
+    store = Store(spark, stage_path(spark, "store"), dict(rows.dtypes)["id"])
+    for k, s in enumerate(steps):
+        mine = parts.filter(F.col("part") == k)
+        _step(staged(_nodes(mine), "nodes"), staged(_sets(mine), "sets"), store, share, fan, len(s) > 1, k == 0)
+    nodes = staged(store.read("nodes").filter("p is not null"), "repeats")
+    store.close()
+    return _expanded(parts, nodes)

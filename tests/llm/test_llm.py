@@ -123,7 +123,8 @@ def _brute(data, share=0.8):
 def test_history_against_brute_force(spark, seed):
     data = _history(random.Random(seed))
     df = spark.createDataFrame([*data, data[0], (None, "201301", "a", "h", None), (999, None, "a", "h", None)], "id long, batch string, addr string, host string, words array<string>")
-    assert rows(increment.deduplicate_history(df), "id", "repeats") == _brute(data)[0]
+    for step in (increment.STEP_ROWS, 60):
+        assert rows(increment.deduplicate_history(df, step_rows=step), "id", "repeats") == _brute(data)[0]
 
 
 def test_batch_after_batch_gives_the_same(spark, tmp_path):
@@ -137,10 +138,10 @@ def test_batch_after_batch_gives_the_same(spark, tmp_path):
     assert sorted(got) == _brute(data)[0]
     assert sizes == sorted(set(sizes))  # each batch only appends
     store = increment.Store(spark, folder)
-    built = increment.segment_index(store.read("sets")).drop("id", "batch")
-    assert rows(built) == rows(store.read("segments").drop("id", "batch"))
-    with pytest.raises(ValueError, match="more than one batch"):
-        increment.deduplicate_batch(spark.createDataFrame(data, schema), store)
+    built = increment.segment_index(store.read("sets")).select("key", "set", "seg")
+    assert rows(built) == rows(store.read("segments").select("key", "set", "seg"))
+    whole = increment.Store(spark, folder + "2")
+    assert rows(increment.deduplicate_batch(spark.createDataFrame(data, schema), whole), "id", "repeats") == sorted(got)
 
 
 @pytest.mark.parametrize("seed", [4, 5])
@@ -152,7 +153,7 @@ def test_hot_segments_are_refined_without_loss(spark, seed):
         own = [f"w{rng.randint(0, 30)}" for _ in range(rng.randint(1, 2) if i % 3 == 0 else rng.randint(3, 8))]
         data.append((i, f"2013{rng.randint(1, 4):02d}", None, "h", sorted({*common, *own})))
     df = spark.createDataFrame(data, "id long, batch string, addr string, host string, words array<string>")
-    assert rows(increment.deduplicate_history(df, fan=5), "id", "repeats") == _brute(data)[0]
+    assert rows(increment.deduplicate_history(df, fan=5, step_rows=1), "id", "repeats") == _brute(data)[0]
 
 
 def test_index_is_linear_and_probes_of_unlike_texts_hit_little(spark):
@@ -233,13 +234,19 @@ def test_hilbert_neighbours():
     assert (np.abs(np.diff(q, axis=0)).sum(axis=1) == 1).all()  # the curve moves to a neighbour each time
 
 
+def _layers(text, n):
+    for _ in range(n):
+        text = text.encode().decode("latin-1")
+    return text
+
+
 def test_garbled_text(spark):
     clean = ["Levels of naïve T cells rose at 37 °C.", "Müller cells “gold standard” ≥ 95 %", "Данные были получены для коры мозга мыши", "A coleção não está incluída", "plain text", "façade – 5 µm", "COLEÇÃO DE AMOSTRAS"]
     data = [(i, "s", clean[i % len(clean)]) for i in range(700)]
     broken = {
         1001: (clean[0].encode().decode("latin-1"), clean[0]), 1002: (clean[5].encode().decode("cp437"), clean[5]), 1003: (clean[0].encode().decode("mac_roman"), clean[0]),
         1004: (clean[0].encode().decode("latin-1").encode().decode("latin-1"), clean[0]), 1005: (clean[2].encode("koi8_r").decode("cp1251"), clean[2]), 1006: (clean[2].encode("cp1251").decode("latin-1"), clean[2]),
-        1007: ("Levels of na�ve T cells", ""),
+        1007: ("Levels of na�ve T cells", ""), 1008: (_layers("façade – 5 µm of stone", 5), "façade – 5 µm of stone"),
     }
     data += [(i, None, b) for i, (b, _) in broken.items()] + [(2000, "s", None), (2001, None, ""), (2002, "s", "word " * 20_000)]
     df = spark.createDataFrame(data, "doc_id long, source string, text string").withColumn("chain", F.lit("clash")).withColumn("id", F.lit(1))
