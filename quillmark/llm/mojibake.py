@@ -3,12 +3,16 @@
 Method: latent encoding chains. A chain says which bytes were read by which codec. Two families are looked at: UTF-8
 read by a single-byte codec, once or several times over (its traces are byte sequences that are valid UTF-8 again), and
 single-byte text read by another single-byte codec (its traces are words that are likelier under another chain, by a
-character model of the corpus). Expectation-maximisation per source over the chains' mixture weights pools the weak
-evidence of a source's records; each record is then repaired by its posterior.
+character model of the corpus). A record shows every chain that explains it nearly as well as its best one. Expectation-
+maximisation per source over the chains' mixture weights, no damage being one of them, pools the weak evidence of a source's
+records; each record is then repaired by the chain of the highest posterior, or left as it is.
+
+The model counts neighbouring characters: those that single-byte codecs know by themselves, all others by their block of 4,096
+code points. That bounds it (about a thousand kinds, a million pairs of them) whatever the corpus.
 
 Defined cases: null, empty and pure ASCII texts are never damaged; a text with U+FFFD, or with traces whose bytes are
-incomplete, has lost characters and gets no restored text; texts of any length are handled in full; a record without a
-source belongs to the pool of null; repeated rows are judged each; an empty table gives an empty result.
+incomplete, has lost characters and gets no restored text; texts of any length and layers of any number are handled in full;
+a record without a source belongs to the pool of null; repeated rows are judged each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +38,15 @@ SWAPS = [
     ("iso8859_5", "cp1251"), ("mac_cyrillic", "cp1251"), ("cp866", "koi8_r"), ("koi8_r", "cp866"), ("cp1251", "mac_roman"), ("koi8_r", "mac_roman"),
     ("cp1252", "mac_roman"), ("mac_roman", "cp1252"), ("cp1252", "cp437"), ("cp437", "cp1252"), ("cp850", "cp1252"), ("cp1252", "cp850"), ("cp1252", "cp1251"), ("cp1252", "koi8_r"),
 ]
-#: UTF-8 readings that may lie over each other.
-DEPTH = 4
+#: Chains whose gain is less than the best one's by up to this compete with it, at most RIVALS of them: others have less than a millionth of its likelihood.
+MARGIN, RIVALS = 14.0, 4
+#: Gain under the first model from which a record is looked at again under the second, which knows the damage.
+LOOK = -5.0
 #: Log odds against a change of the chain from one word to the next, and against any single-byte damage in a record before its source is known.
 SWITCH, PRIOR = -7.0, -6.0
 ROUNDS = 6
-#: Character pairs kept in the model: more than the letters of the alphabets at hand can form, so nothing is lost; a bound for the driver.
-MODEL_PAIRS = 200_000
+#: Code points of a block, whose characters outside the codecs count as one kind.
+BLOCK = 4096
 
 
 def _to_bytes(codec: str) -> dict[str, int]:
@@ -97,6 +104,7 @@ class Model:
         self._two: dict[str, float] = {}
         self.runs: dict[str, list[float] | tuple] = {}
         self._gains: dict[str, list[float]] = {}
+        self._better: dict[str, list[tuple[int, float]]] = {}
 
     def gains(self, w: str) -> list[float]:
         """What each chain of SWAPS gains in log likelihood on the word."""
@@ -108,10 +116,23 @@ class Model:
             v = self._gains[w] = [self.word(w.translate(t)) - p if all(ord(ch) < 128 or ord(ch) in t for ch in w) else -50.0 for t in _TABLES]
         return v
 
+    def better(self, words: list[str]) -> dict[int, float]:
+        """Sum of the words' positive gains by chain, where there are any."""
+        total: dict[int, float] = {}
+        for w in words:
+            good = self._better.get(w)
+            if good is None:
+                if len(self._better) > 200_000:
+                    self._better.clear()
+                good = self._better[w] = [(n, g) for n, g in enumerate(self.gains(w)) if g > 0]
+            for n, g in good:
+                total[n] = total.get(n, 0.0) + g
+        return total
+
     def one(self, ch: str) -> float:
         v = self._one.get(ch)
         if v is None:
-            v = self._one[ch] = math.log((self.single.get(ch, 0) + 0.5) / self.m)
+            v = self._one[ch] = math.log((self.single.get(_kind(ch), 0) + 0.5) / self.m) + _share(ch)
         return v
 
     def word(self, w: str) -> float:
@@ -126,17 +147,25 @@ class Model:
         return total
 
 
+_ALPHABET = {ch for m in _BYTES.values() for ch in m}
+
+
 def _kind(ch: str) -> str:
     if ord(ch) > 127:
-        return ch
+        return ch if ch in _ALPHABET else chr(max(0x100, ord(ch) // BLOCK * BLOCK) | 1)
     return "a" if ch.islower() else "A" if ch.isupper() else "0" if ch.isdigit() else " "
 
 
+def _share(ch: str) -> float:
+    """Log share of a character in its kind."""
+    return 0.0 if ch in _ALPHABET else -math.log(BLOCK)
+
+
 def pairs_of(text: str, into: Counter) -> None:
     """Counts the neighbours of every character outside ASCII."""
     for x in _RUN.finditer(text):
         prev = _kind(text[x.start() - 1]) if x.start() else " "
-        for ch in x.group():
+        for ch in map(_kind, x.group()):
             into[prev + ch] += 1
             prev = ch
         into[prev + (_kind(text[x.end()]) if x.end() < len(text) else " ")] += 1
@@ -168,8 +197,8 @@ def _put_right(text: str, codec: str, model: Model) -> tuple[float, str]:
     return gain, out
 
 
-def _utf8_layer(text: str, model: Model) -> tuple[float, str]:
-    """(gain, codec) of the best chain of the first family for one layer; a trace is a run of two or more characters outside ASCII."""
+def _utf8_gains(text: str, model: Model) -> list[float]:
+    """Gain of each codec of the first family for one layer; a trace is a run of two or more characters outside ASCII."""
     total = [0.0] * len(READ_BY)
     for run in _RUN.findall(text):
         if len(run) < 2:
@@ -182,76 +211,93 @@ def _utf8_layer(text: str, model: Model) -> tuple[float, str]:
             model.runs[run] = gains = gains if any(gains) else ()
         for k, g in enumerate(gains):
             total[k] += g
-    best = max(range(len(READ_BY)), key=total.__getitem__)
-    return (total[best], READ_BY[best]) if total[best] > 0 else (0.0, "")
+    return total
+
+
+def _turned(words: list, states: list[int], text: str, table: dict) -> str:
+    """The text with the words of state 1, and what lies between neighbours of them, under the table."""
+    hit = [k for k, s in enumerate(states) if s]
+    out, at, k = [], 0, 0
+    while k < len(hit):
+        last = k
+        while last + 1 < len(hit) and hit[last + 1] == hit[last] + 1:
+            last += 1
+        lo, hi = words[hit[k]].start(), words[hit[last]].end()
+        out += [text[at:lo], text[lo:hi].translate(table)]
+        at, k = hi, last + 1
+    return "".join(out) + text[at:]
 
 
-def _swap_layer(text: str, model: Model) -> tuple[float, str, str]:
-    """(gain, chain, text) of the best chain of the second family: words under it and under none, by Viterbi with a switch cost.
+def _swaps(text: str, model: Model) -> list[tuple[float, int, list, list[int]]]:
+    """(gain, chain, words, states) of the gaining chains of the second family: words under the chain and under none, by Viterbi with a switch cost.
 
     Any gain is evidence, even that of a single word; the source decides whether it holds.
     """
+    able = [n for n, g in model.better(_WORD.findall(text)).items() if g + SWITCH > 0]
+    if not able:
+        return []
     words = list(_WORD.finditer(text))
     scores = [model.gains(w.group()) for w in words]
-    best: tuple[float, str, str] = (0.0, "", text)
-    for n, (wrote, read) in enumerate(SWAPS):
+    found = []
+    for n in sorted(able):
         score = [g[n] for g in scores]
-        if sum(g for g in score if g > 0) + SWITCH <= best[0]:
-            continue
-        table = _TABLES[n]
         stay, turned, back = 0.0, SWITCH, []
         for g in score:
             a, b = (0, stay) if stay >= turned + SWITCH else (1, turned + SWITCH)
             c, d = (1, turned) if turned >= stay + SWITCH else (0, stay + SWITCH)
             back.append((a, c))
             stay, turned = b, d + g
-        if max(stay, turned) <= best[0]:
+        if max(stay, turned) <= 0:
             continue
         state, states = (1 if turned > stay else 0), []
         for a, c in reversed(back):
             states.append(state)
             state = c if state else a
         states.reverse()
-        hit = [k for k, s in enumerate(states) if s]
-        if not hit:
-            continue
-        out, at, k = [], 0, 0
-        while k < len(hit):
-            last = k
-            while last + 1 < len(hit) and hit[last + 1] == hit[last] + 1:
-                last += 1
-            lo, hi = words[hit[k]].start(), words[hit[last]].end()
-            out += [text[at:lo], text[lo:hi].translate(table)]
-            at, k = hi, last + 1
-        best = (max(stay, turned), f"{wrote} read by {read}", "".join(out) + text[at:])
-    return best
+        if any(states):
+            found.append((max(stay, turned), n, words, states))
+    return found
+
+
+def _options(text: str, model: Model) -> list[tuple[float, str, str]]:
+    """(gain, chain, text) of the gaining chains on one layer that rival the best, the best first; of chains with one result the first."""
+    options = [(g, f"utf-8 read by {c}", c) for g, c in zip(_utf8_gains(text, model), READ_BY, strict=True) if g > 0]
+    options += [(s[0], f"{SWAPS[s[1]][0]} read by {SWAPS[s[1]][1]}", s) for s in _swaps(text, model)]
+    options.sort(key=lambda o: -o[0])
+    out: dict[str, tuple[float, str, str]] = {}
+    for gain, chain, how in options:
+        if gain < options[0][0] - MARGIN or len(out) == RIVALS:
+            break
+        now = _put_right(text, how, model)[1] if isinstance(how, str) else _turned(how[2], how[3], text, _TABLES[how[1]])
+        if now not in out:
+            out[now] = (gain, chain, now)
+    return list(out.values())
+
+
+def _trace(text: str, model: Model) -> bool:
+    """Whether a chain comes near to a gain."""
+    if "\ufffd" in text or any(g > LOOK for g in _utf8_gains(text, model) if g):
+        return True
+    return any(g + SWITCH > LOOK for g in model.better(_WORD.findall(text)).values())
 
 
 #: The beginning of a trace without its end.
 _TORN = re.compile("[ÃÂ](?=[\\s.,;]|$)|â€(?![\x80-\xbf‘-™])")
 
 
-def diagnose(text: str, model: Model) -> tuple[str, float, str] | None:
-    """(chain, gain, restored text or "" if characters are lost) of a text that shows traces, else None."""
-    if "�" in text:
-        return "lost", 50.0, ""
-    chain, total, now = [], 0.0, text
-    for _ in range(DEPTH):
-        gain, codec = _utf8_layer(now, model)
-        other, swap, out = _swap_layer(now, model)
-        if codec and gain >= other:
-            total, now = total + gain, _put_right(now, codec, model)[1]
-            chain.append(f"utf-8 read by {codec}")
-        elif swap:
-            total, now = total + other, out
-            chain.append(swap)
-        else:
-            break
-    if not chain:
-        return None
-    if any("cp1252" in c for c in chain) and _TORN.search(now) and not _TORN.search(text.upper() if text.isupper() else ""):
-        return " < ".join(chain), total, ""
-    return " < ".join(chain), total, now
+def diagnose(text: str, model: Model) -> list[tuple[str, float, str]]:
+    """(chain, gain, restored text or "" if characters are lost) of the chains that may explain a text, the best first; none for a text without traces."""
+    if "\ufffd" in text:
+        return [("lost", 50.0, "")]
+    found = []
+    for total, chain, now in _options(text, model):
+        # Layer under layer: each gains, so that no text comes twice.
+        while under := _options(now, model):
+            gain, layer, now = under[0]
+            total, chain = total + gain, f"{chain} < {layer}"
+        torn = "cp1252" in chain and _TORN.search(now) and not _TORN.search(text.upper() if text.isupper() else "")
+        found.append((chain, total, "" if torn else now))
+    return sorted(found, key=lambda f: -f[1])
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -264,79 +310,103 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def character_model(texts: DataFrame) -> dict[str, int]:
-    """Counts of neighbouring characters over all texts (column text)."""
+    """Counts of neighbouring kinds of characters over all texts (column text); their number is bounded by that of the kinds."""
     c = texts.mapInPandas(_counts, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return {r.pair: r.n for r in c.orderBy(F.desc("n"), "pair").limit(MODEL_PAIRS).collect()}
+    return {r.pair: r.n for r in c.collect()}
 
 
-def _corrections(pairs: dict[str, int]):
-    """Counts of repaired texts less those of the texts as they stand, for all records that show traces."""
+def _looked(pairs: Broadcast, id_type: str):
+    """Records that show a trace under the first model, with the best repair if it gains."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(pairs)
-        more: Counter = Counter()
-        less: Counter = Counter()
+        model = Model(pairs.value)
         for pdf in batches:
-            for t in pdf["text"]:
-                d = diagnose(t, model)
-                if d:
-                    pairs_of(t, less)
-                    pairs_of(d[2], more)
-        more.subtract(less)
-        if more:
-            yield pd.DataFrame({"pair": list(more), "n": list(more.values())})
+            rows = []
+            for i, s, t in zip(pdf["id"], pdf["pool"], pdf["text"], strict=True):
+                if _trace(t, model):
+                    d = diagnose(t, model)
+                    rows.append((i, s, t, d[0][2] if d else None))
+            yield pd.DataFrame(rows, columns=["id", "pool", "text", "restored"])
+
+    return run, f"id {id_type}, pool string, text string, restored string"
+
+
+def _corrections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of repaired texts less those of the texts as they stand."""
+    more: Counter = Counter()
+    less: Counter = Counter()
+    for pdf in batches:
+        for t, r in zip(pdf["text"], pdf["restored"], strict=True):
+            pairs_of(t, less)
+            pairs_of(r, more)
+    more.subtract(less)
+    if more:
+        yield pd.DataFrame({"pair": list(more), "n": list(more.values())})
 
-    return run
 
+def _rivals(pairs: Broadcast, id_type: str):
+    """The chains of each record under the second model."""
 
-def _diagnose(pairs: dict[str, int]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(pairs)
+        model = Model(pairs.value)
         for pdf in batches:
             rows = []
-            for i, s, t in zip(pdf["id"], pdf["source"], pdf["text"], strict=True):
+            for i, s, t in zip(pdf["id"], pdf["pool"], pdf["text"], strict=True):
                 d = diagnose(t, model)
                 if d:
-                    rows.append((i, s, d[0], d[1], d[2]))
-            yield pd.DataFrame(rows, columns=["id", "source", "chain", "gain", "restored"])
+                    rows.append((i, s, [{"chain": c, "gain": g, "restored": r} for c, g, r in d]))
+            yield pd.DataFrame(rows, columns=["id", "pool", "rivals"])
 
-    return run
+    return run, f"id {id_type}, pool string, rivals array<struct<chain: string, gain: double, restored: string>>"
 
 
 def _em(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Log weights of one source's chains against no damage; a row for each chain and step of evidence (at most 61 a chain)."""
+    """Log weights of one source's chains against no damage, from the counts of its records by their chains and gains (in steps of 1, up to 60)."""
     first = math.exp(PRIOR)
+    shown = [([(c, math.exp(g)) for c, g in zip(cs, gs, strict=True)], n) for cs, gs, n in zip(pdf["chains"], pdf["steps"], pdf["n"], strict=True)]
     clean = float(pdf["total"].iloc[0]) - float(pdf["n"].sum())
-    w = {c: first for c in pdf["chain"]}
+    w = {c: first for s, _ in shown for c, _ in s}
     none = 1.0 - min(0.5, first * len(w))
     for _ in range(ROUNDS):
         got, rest = dict.fromkeys(w, first), clean + 1.0
-        for c, g, n in zip(pdf["chain"], pdf["step"], pdf["n"], strict=True):
-            r = w[c] * math.exp(g) / (w[c] * math.exp(g) + none)
-            got[c] += n * r
-            rest += n * (1 - r)
+        for s, n in shown:
+            z = none + sum(w[c] * e for c, e in s)
+            for c, e in s:
+                got[c] += n * w[c] * e / z
+            rest += n * none / z
         total = rest + sum(got.values())
         w, none = {c: x / total for c, x in got.items()}, rest / total
-    return pd.DataFrame({"source": pdf["source"].iloc[0], "chain": list(w), "odds": [math.log(x / none) for x in w.values()]})
+    return pd.DataFrame({"pool": pdf["pool"].iloc[0], "chain": list(w), "odds": [math.log(x / none) for x in w.values()]})
 
 
 def repair(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
     """(id, source, chain, posterior, restored) of the damaged records; restored is the whole text, "" where characters are lost."""
-    rows = df.select(df[id_col].alias("id"), F.coalesce(df[source].cast("string"), F.lit("")).alias("source"), df[text].alias("text"))
+    sc, kind = df.sparkSession.sparkContext, dict(df.dtypes)[id_col]
+    origin = df[source].cast("string")
+    pool = F.when(origin.isNull(), "").otherwise(F.concat(F.lit("="), origin))
+    rows = df.select(df[id_col].alias("id"), pool.alias("pool"), df[text].alias("text"))
     odd = rows.filter(F.col("text").rlike(r"[^\x00-\x7F]"))
     pairs = character_model(odd.select("text"))
-    # The characters' model is estimated again from the texts as the first model repairs them.
-    change = odd.select("text").mapInPandas(_corrections(pairs), "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter("n <> 0")
-    for r in change.orderBy(F.desc(F.abs("n")), "pair").limit(MODEL_PAIRS).collect():
+    looked = staged(odd.mapInPandas(*_looked(sc.broadcast(pairs), kind)), "looked")
+    # The characters' model is estimated again from the texts as the first model repairs them; only records that showed a trace are judged again.
+    repaired = looked.filter("restored is not null").select("text", "restored")
+    change = repaired.mapInPandas(_corrections, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter("n <> 0")
+    pairs = dict(pairs)
+    for r in change.collect():
         pairs[r.pair] = max(0, pairs.get(r.pair, 0) + r.n)
-    kind = dict(df.dtypes)[id_col]
-    evidence = staged(odd.mapInPandas(_diagnose(pairs), f"id {kind}, source string, chain string, gain double, restored string"), "evidence")
-    sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("total"))
-    step = F.least(F.floor("gain"), F.lit(60)).cast("int").alias("step")
-    pools = evidence.groupBy("source", "chain", step).agg(F.count(F.lit(1)).alias("n")).join(sizes, "source")
-    odds = pools.groupBy("source").applyInPandas(_em, "source string, chain string, odds double")
-    hits = evidence.groupBy("source", "chain").agg(F.count(F.lit(1)).alias("n"))
-    heavy = heavy_keys(hits, evidence.count())
-    judged = split_join(evidence, odds, ["source", "chain"], heavy)
-    posterior = 1 / (1 + F.exp(-F.least(F.col("gain") + F.col("odds"), F.lit(60.0))))
-    return judged.withColumn("posterior", posterior).filter("posterior >= 0.5").select("id", "source", "chain", "posterior", "restored")
+    evidence = staged(looked.select("id", "pool", "text").mapInPandas(*_rivals(sc.broadcast(pairs), kind)), "evidence")
+    sizes = rows.groupBy("pool").agg(F.count(F.lit(1)).alias("total"))
+    step = F.transform("rivals", lambda r: F.least(F.floor(r["gain"]), F.lit(60)).cast("double"))
+    pools = evidence.groupBy("pool", F.transform("rivals", lambda r: r["chain"]).alias("chains"), step.alias("steps")).agg(F.count(F.lit(1)).alias("n")).join(sizes, "pool")
+    odds = pools.groupBy("pool").applyInPandas(_em, "pool string, chain string, odds double")
+    odds = odds.groupBy("pool").agg(F.map_from_entries(F.collect_list(F.struct("chain", "odds"))).alias("odds"))
+    heavy = heavy_keys(evidence.groupBy("pool").agg(F.count(F.lit(1)).alias("n")), evidence.count())
+    j = split_join(evidence, odds, ["pool"], heavy)
+    weigh = lambda r: F.struct(F.least(r["gain"] + F.try_element_at("odds", r["chain"]), F.lit(60.0)).alias("s"), r["chain"].alias("chain"), r["restored"].alias("restored"))
+    j = j.withColumn("c", F.transform("rivals", weigh)).withColumn("best", F.array_max("c"))
+    j = j.withColumn("z", F.aggregate("c", F.lit(0.0), lambda a, r: a + F.exp(r["s"])))
+    # Chains that give one text speak for it together.
+    same = F.aggregate(F.filter("c", lambda r: r["restored"] == F.col("best.restored")), F.lit(0.0), lambda a, r: a + F.exp(r["s"]))
+    damaged, chosen = F.col("z") / (1 + F.col("z")), same / (1 + F.col("z"))
+    origin = F.when(F.col("pool") != "", F.substring("pool", 2, 1_000_000))
+    return j.filter(damaged >= 0.5).select("id", origin.alias("source"), "best.chain", chosen.alias("posterior"), "best.restored")
