@@ -100,13 +100,25 @@ def _allowed(share: float) -> Column:
     return lengths & ((F.col("seg") < 0) | near)
 
 
+def _marks() -> list[Column]:
+    """A bit for each word's hash, 128 in all: two sets differ in at least as many words as bits."""
+    bit = lambda w: F.pmod(F.xxhash64(w), F.lit(128))
+    one = lambda k: lambda acc, w: F.when(F.floor(bit(w) / 64) == k, acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit(w), F.lit(64)).cast("int")))).otherwise(acc)
+    return [F.aggregate("words", F.lit(0).cast("long"), one(k)).alias(f"m{k}") for k in (0, 1)]
+
+
 def _verified(hits: DataFrame, new: DataFrame, old: DataFrame, share: float) -> DataFrame:
-    """The hits (a, b, ...) whose whole sets are within the bounded distance."""
+    """The hits (a, b, ...) whose whole sets are within the bounded distance. The marks of both spare most hits the texts."""
+    of = lambda df, x: df.select(F.col("set").alias(x), F.col("size").alias(f"{x}_n"), F.col("m0").alias(f"{x}0"), F.col("m1").alias(f"{x}1"))
+    cols = hits.columns
+    hits = hits.join(of(new, "a"), "a").withColumnRenamed("b", "set").join(of(old, "b").withColumnRenamed("b", "set"), "set")
+    apart = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
+    hits = hits.filter(apart <= (F.col("a_n") + F.col("b_n")) * ((1 - share) / (1 + share)) + 1e-9).select("set", *[c for c in cols if c != "b"])
+    hits = hits.join(old.select("set", F.col("host").alias("hb"), F.col("words").alias("wb")), "set").withColumnRenamed("set", "b")
     hits = hits.join(new.select(F.col("set").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa")), "a")
-    hits = hits.withColumnRenamed("b", "set").join(old.select("set", F.col("host").alias("hb"), F.col("words").alias("wb")), "set").withColumnRenamed("set", "b")
     common, both = F.size(F.array_intersect("wa", "wb")), F.size("wa") + F.size("wb")
     close = both - 2 * common <= (both - common) * (1 - share) + 1e-9
-    return hits.filter((F.col("ha") == F.col("hb")) & close).drop("ha", "hb", "wa", "wb")
+    return hits.filter((F.col("ha") == F.col("hb")) & close).select(*cols)
 
 
 def _hits(probe: DataFrame, index: DataFrame, share: float) -> DataFrame:
@@ -118,12 +130,10 @@ def _hits(probe: DataFrame, index: DataFrame, share: float) -> DataFrame:
 def nearest_sets(new: DataFrame, segments: DataFrame, old: DataFrame, share: float = SHARE, fan: int = FAN) -> DataFrame:
     """(set, p): for each set of new the earliest (batch, id) of the similar sets of old.
 
-    new: (set, host, words); old: (set, host, words, batch, id); segments: segment_index(old). Stored tables are bucketed
-    by key and by set, so that only what belongs to new is shuffled.
+    new: sized(sets); old: the same with batch, id; segments: segment_index(old). Stored tables are bucketed by key and by
+    set, so that only what belongs to new is shuffled.
     """
-    shared = new.join(old.select("host").distinct(), "host", "left_semi")  # a host without history has no similar sets
-    sized = staged(shared.select("set", "host", "words", F.size("words").alias("size")), "sized")
-    probe = _probe_entries(sized, "host", F.col("words"), share).select("key", "set", "size", "at", "len").withColumn("cuts", _no_cuts())
+    probe = _probe_entries(new.select("set", "host", "words", "size"), "host", F.col("words"), share).select("key", "set", "size", "at", "len").withColumn("cuts", _no_cuts())
     met = segments.withColumn("cuts", _no_cuts())
     found = []
     pair = ["a", "b", "batch", "id"]
@@ -162,10 +172,14 @@ def _no_cuts() -> Column:
     return F.array().cast("array<struct<at:int,len:int>>")
 
 
+def sized(sets: DataFrame) -> DataFrame:
+    """sets(set, host, words) with their sizes and marks."""
+    return sets.select("*", F.size("words").alias("size"), *_marks())
+
+
 def segment_index(sets: DataFrame, share: float = SHARE) -> DataFrame:
-    """(key, set, size, seg, at, len, batch, id): a row for each segment of sets(set, host, words, batch, id)."""
-    sized = sets.select("set", "host", "words", F.size("words").alias("size"), "batch", "id")
-    return _index_entries(sized, "host", F.col("words"), share).select("key", "set", "size", "seg", "at", "len", "batch", "id")
+    """(key, set, size, seg, at, len, batch, id): a row for each segment of sets(set, host, words, size, batch, id)."""
+    return _index_entries(sets.select("set", "host", "words", "size", "batch", "id"), "host", F.col("words"), share).select("key", "set", "size", "seg", "at", "len", "batch", "id")
 
 
 class Store:
@@ -185,7 +199,7 @@ class Store:
         self.schemas = {
             # p is the partner of a node that repeats something, null for an accepted one.
             "nodes": f"node binary, n bigint, addr string, set binary, {place}, p struct<{place.replace(' ', ':').replace(',:', ', ')}>",
-            "sets": f"set binary, host string, words array<string>, {place}",
+            "sets": f"set binary, host string, words array<string>, size int, m0 bigint, m1 bigint, {place}",
             "segments": f"key bigint, set binary, size int, seg int, at int, len int, {place}",
         }
         self.name = "quillmark_" + hashlib.md5(folder.encode()).hexdigest()
@@ -199,11 +213,12 @@ class Store:
         self.spark.catalog.refreshTable(f"{self.name}_{table}")
         return self.spark.table(f"{self.name}_{table}")
 
-    def append(self, table: str, df: DataFrame) -> None:
+    def append(self, table: str, df: DataFrame, dealt: bool = False) -> None:
+        """Appends rows; dealt: whether they come partitioned by the table's key, as from a join on it."""
         key = self.BUCKETED[table]
-        names = [c.name for c in self.spark.table(f"{self.name}_{table}").schema]
-        dealt = df.select(*names).repartition(self.buckets, key)
-        dealt.write.mode("append").format("parquet").bucketBy(self.buckets, key).sortBy(key).saveAsTable(f"{self.name}_{table}")
+        df = df.select(*[c.name for c in self.spark.table(f"{self.name}_{table}").schema])
+        df = df if dealt else df.repartition(self.buckets, key)
+        df.write.mode("append").format("parquet").bucketBy(self.buckets, key).sortBy(key).saveAsTable(f"{self.name}_{table}")
 
     def close(self) -> None:
         """Forgets the names; the folder stays."""
@@ -214,15 +229,19 @@ class Store:
 def _rows(rows: DataFrame) -> DataFrame:
     """One row per id: (id, batch, addr, host, words, set, node); rows without address and set match nothing and are left out."""
     rows = rows.filter("id is not null and batch is not null").select("id", "batch", "addr", "host", "words")
-    rows = rows.groupBy("id").agg(F.min(F.struct("batch", "addr", "host", "words")).alias("r")).select("id", "r.*")
     words = F.when((F.col("host") != "") & (F.size("words") > 0), F.col("words"))
     ordered = F.transform(F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), lambda s: s["w"])
     rows = rows.withColumn("addr", F.when(F.col("addr") != "", F.col("addr"))).withColumn("words", ordered)
     digest = F.unhex(F.md5(F.concat_ws(" ", "host", F.array_join("words", " "))))
     rows = rows.withColumn("set", F.when(F.col("words").isNotNull(), digest))
     node = F.unhex(F.md5(F.concat(F.coalesce("addr", F.lit("")), F.lit(" "), F.coalesce(F.hex("set"), F.lit("")))))
-    rows = rows.filter("addr is not null or set is not null").withColumn("node", node)
-    return staged(rows, "rows")
+    rows = staged(rows.withColumn("node", node), "rows")
+    # An id that comes again counts with its first batch; only such rows are moved for it.
+    twice = staged(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "twice")
+    if twice.limit(1).count():
+        first = rows.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by(F.struct(*rows.columns), F.struct("batch", "node")).alias("r")).select("r.*")
+        rows = rows.join(twice, "id", "left_anti").unionByName(first)
+    return rows.filter("addr is not null or set is not null")
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -230,16 +249,15 @@ def _nodes(rows: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    return rows.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words"))
+    return sized(rows.filter("set is not null").groupBy("set").agg(F.first("host").alias("host"), F.first("words").alias("words")))
 
 
 def similar_sets(sets: DataFrame, share: float = SHARE) -> DataFrame:
-    """(a, b) of all similar sets(set, host, words) in both directions, and of each with itself."""
-    hosts = sets.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")  # a host with one set has no pair
-    some = staged(sets.join(hosts.select("host"), "host", "left_semi"), "some")
-    sized = some.select("set", "host", "words", F.size("words").alias("size"))
+    """(a, b) of all similar sets(sized) in both directions, and of each with itself."""
+    several = sets.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("host")  # a host with one set has no pair
+    some = staged(sets.join(several, "host", "left_semi"), "some")
     index = segment_index(some.withColumns({"batch": F.lit(""), "id": F.lit(0)}), share)
-    hits = _hits(_probe_entries(sized, "host", F.col("words"), share), index, share).filter("a <> b").select("a", "b").distinct()
+    hits = _hits(_probe_entries(some.select("set", "host", "words", "size"), "host", F.col("words"), share), index, share).filter("a <> b").select("a", "b").distinct()
     return _verified(hits, some, some, share).unionByName(sets.select(F.col("set").alias("a"), F.col("set").alias("b")))
 
 
@@ -282,10 +300,11 @@ def _step(nodes: DataFrame, sets: DataFrame, store: Store, share: float, fan: in
     met = met.select("node", "n", "addr", "set", "batch", "id", "p")
     met = staged(_settled(met, sets, share) if several else met, "met")
     new = met.filter("p is null and set is not null").groupBy("set").agg(F.min(F.struct("batch", "id")).alias("f")).select("set", "f.*")
-    fresh = staged(sets.join(new, "set"), "fresh")
     store.append("nodes", met)
-    store.append("sets", fresh)
-    store.append("segments", segment_index(fresh, share))
+    store.append("sets", sets.join(new, "set"), dealt=True)
+    # The sets just appended: the files of earlier steps are passed over by their statistics.
+    oldest = met.agg(F.min("batch")).first()[0]
+    store.append("segments", segment_index(store.read("sets").filter(F.col("batch") >= oldest), share))
     return met
 
 

@@ -159,13 +159,13 @@ def test_hot_segments_are_refined_without_loss(spark, seed):
 def test_index_is_linear_and_probes_of_unlike_texts_hit_little(spark):
     sets = lambda n, m, seed: [(bytes([seed]) + i.to_bytes(4, "big"), "h", [f"w{x}" for x in random.Random(seed * 10**6 + i).sample(range(2000), m)], "1", i) for i in range(n)]
     schema = "set binary, host string, words array<string>, batch string, id long"
-    entries = [increment.segment_index(spark.createDataFrame(sets(1, m, 1), schema)).count() for m in (100, 200, 400, 800)]
+    entries = [increment.segment_index(increment.sized(spark.createDataFrame(sets(1, m, 1), schema))).count() for m in (100, 200, 400, 800)]
     assert entries == [26, 51, 101, 201]
     hits = []
     for n in (1500, 3000):
         old, new = spark.createDataFrame(sets(n, 14, 1), schema), spark.createDataFrame(sets(n, 14, 2), schema)
         probe = increment._probe_entries(new.withColumn("size", F.size("words")), "host", F.col("words"), 0.8)
-        hits.append(increment._hits(probe, increment.segment_index(old), 0.8).count())
+        hits.append(increment._hits(probe, increment.segment_index(increment.sized(old)), 0.8).count())
     assert hits[1] <= 2 * max(hits[0], 50)
 
 
