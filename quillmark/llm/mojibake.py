@@ -172,8 +172,20 @@ def pairs_of(text: str, into: Counter) -> None:
 
 
 _RUN = re.compile(r"[^\x00-\x7f]+")
-#: A letter may be read as a sign, so a word takes in all that isn't ASCII.
-_WORD = re.compile(r"[A-Za-z]*[^\x00-\x7f][A-Za-z\x80-\U0010ffff]*")
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+#: What follows a character outside ASCII within its word: a letter may be read as a sign, so all that isn't ASCII belongs to it.
+_TAIL = re.compile(r"[^\x00-\x7f][A-Za-z\x80-\U0010ffff]*")
+
+
+def words_of(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the words with characters outside ASCII."""
+    out = []
+    for x in _TAIL.finditer(text):
+        i = x.start()
+        while i and text[i - 1] in _LETTERS:
+            i -= 1
+        out.append((i, x.end()))
+    return out
 
 
 def _put_right(text: str, codec: str, model: Model) -> tuple[float, str]:
@@ -222,7 +234,7 @@ def _turned(words: list, states: list[int], text: str, table: dict) -> str:
         last = k
         while last + 1 < len(hit) and hit[last + 1] == hit[last] + 1:
             last += 1
-        lo, hi = words[hit[k]].start(), words[hit[last]].end()
+        lo, hi = words[hit[k]][0], words[hit[last]][1]
         out += [text[at:lo], text[lo:hi].translate(table)]
         at, k = hi, last + 1
     return "".join(out) + text[at:]
@@ -233,11 +245,12 @@ def _swaps(text: str, model: Model) -> list[tuple[float, int, list, list[int]]]:
 
     Any gain is evidence, even that of a single word; the source decides whether it holds.
     """
-    able = [n for n, g in model.better(_WORD.findall(text)).items() if g + SWITCH > 0]
+    words = words_of(text)
+    plain = [text[i:j] for i, j in words]
+    able = [n for n, g in model.better(plain).items() if g + SWITCH > 0]
     if not able:
         return []
-    words = list(_WORD.finditer(text))
-    scores = [model.gains(w.group()) for w in words]
+    scores = [model.gains(w) for w in plain]
     found = []
     for n in sorted(able):
         score = [g[n] for g in scores]
@@ -259,14 +272,14 @@ def _swaps(text: str, model: Model) -> list[tuple[float, int, list, list[int]]]:
     return found
 
 
-def _options(text: str, model: Model) -> list[tuple[float, str, str]]:
+def _options(text: str, model: Model, rivals: int = RIVALS) -> list[tuple[float, str, str]]:
     """(gain, chain, text) of the gaining chains on one layer that rival the best, the best first; of chains with one result the first."""
     options = [(g, f"utf-8 read by {c}", c) for g, c in zip(_utf8_gains(text, model), READ_BY, strict=True) if g > 0]
     options += [(s[0], f"{SWAPS[s[1]][0]} read by {SWAPS[s[1]][1]}", s) for s in _swaps(text, model)]
     options.sort(key=lambda o: -o[0])
     out: dict[str, tuple[float, str, str]] = {}
     for gain, chain, how in options:
-        if gain < options[0][0] - MARGIN or len(out) == RIVALS:
+        if gain < options[0][0] - MARGIN or len(out) == rivals:
             break
         now = _put_right(text, how, model)[1] if isinstance(how, str) else _turned(how[2], how[3], text, _TABLES[how[1]])
         if now not in out:
@@ -278,21 +291,21 @@ def _trace(text: str, model: Model) -> bool:
     """Whether a chain comes near to a gain."""
     if "\ufffd" in text or any(g > LOOK for g in _utf8_gains(text, model) if g):
         return True
-    return any(g + SWITCH > LOOK for g in model.better(_WORD.findall(text)).values())
+    return any(g + SWITCH > LOOK for g in model.better([text[i:j] for i, j in words_of(text)]).values())
 
 
 #: The beginning of a trace without its end.
 _TORN = re.compile("[ÃÂ](?=[\\s.,;]|$)|â€(?![\x80-\xbf‘-™])")
 
 
-def diagnose(text: str, model: Model) -> list[tuple[str, float, str]]:
+def diagnose(text: str, model: Model, rivals: int = RIVALS) -> list[tuple[str, float, str]]:
     """(chain, gain, restored text or "" if characters are lost) of the chains that may explain a text, the best first; none for a text without traces."""
     if "\ufffd" in text:
         return [("lost", 50.0, "")]
     found = []
-    for total, chain, now in _options(text, model):
+    for total, chain, now in _options(text, model, rivals):
         # Layer under layer: each gains, so that no text comes twice.
-        while under := _options(now, model):
+        while under := _options(now, model, 1):
             gain, layer, now = under[0]
             total, chain = total + gain, f"{chain} < {layer}"
         torn = "cp1252" in chain and _TORN.search(now) and not _TORN.search(text.upper() if text.isupper() else "")
@@ -324,7 +337,7 @@ def _looked(pairs: Broadcast, id_type: str):
             rows = []
             for i, s, t in zip(pdf["id"], pdf["pool"], pdf["text"], strict=True):
                 if _trace(t, model):
-                    d = diagnose(t, model)
+                    d = diagnose(t, model, 1)
                     rows.append((i, s, t, d[0][2] if d else None))
             yield pd.DataFrame(rows, columns=["id", "pool", "text", "restored"])
 
