@@ -34,12 +34,12 @@ from quillmark.runtime import staged
 LEAST, LOOSE = 3, 0.3
 #: Rows of a table of beginnings up to which it is broadcast (under 20 MB); beyond, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
-#: What is believed of a field before its values are seen, worth PRIOR_VALUES cut values and as many whole ones: P(kind | cut) and P(kind | cut) / P(kind | whole).
+#: What is believed of a field before its values are seen, with the weight of PRIOR_SHARE of them: P(kind | cut) and P(kind | cut) / P(kind | whole).
 PRIOR = {
-    "opened": (0.5, 2000.0), "inside word": (0.25, 1000.0), "goes on": (0.15, 60.0), "unknown": (0.04, 2.0), "seen end": (0.02, 0.03),
-    "ended": (0.01, 0.01), "link": (0.001, 0.001), "short link": (0.02, 1000.0), "decimal": (0.01, 400.0),
+    "opened": (0.5, 2000.0), "inside word": (0.25, 1000.0), "goes on": (0.15, 60.0), "unknown": (0.04, 2.0), "seen end": (0.01, 0.03),
+    "ended": (0.01, 0.02), "link": (0.0002, 0.001), "short link": (0.02, 1000.0), "decimal": (0.01, 400.0),
 }
-PRIOR_VALUES = 5.0
+PRIOR_SHARE = 0.01
 #: Values that a limit's censoring posterior is worth against the ends seen there.
 LIMIT_VALUES = 10.0
 #: Share of cut values elsewhere than at a limit, as it is believed first.
@@ -99,15 +99,14 @@ def fit_ends(cells: list[tuple[str, int, float, float]]) -> tuple[dict[str, floa
     believed = {limit: min(0.9, c) for _, limit, c, _ in cells if limit} | {0: BASE}
     share = dict(believed)
     for _ in range(ROUNDS):
-        a, b = ({k: PRIOR_VALUES * v[i] for k, v in first.items()} for i in (0, 1))
-        weight = {limit: LIMIT_VALUES if limit else PRIOR_VALUES for limit in share}
-        hit, seen = {limit: believed[limit] * w for limit, w in weight.items()}, dict(weight)
+        a, b = dict.fromkeys(PRIOR, 0.0), dict.fromkeys(PRIOR, 0.0)
+        hit, seen = {limit: LIMIT_VALUES * c for limit, c in believed.items()}, dict.fromkeys(believed, LIMIT_VALUES)
         for kind, limit, _, n in cells:
             p = share[limit]
             r = p * cut[kind] / (p * cut[kind] + (1 - p) * whole[kind])
             a[kind], b[kind] = a[kind] + n * r, b[kind] + n * (1 - r)
             hit[limit], seen[limit] = hit[limit] + n * r, seen[limit] + n
-        cut, whole = ({k: v / sum(x.values()) for k, v in x.items()} for x in (a, b))
+        cut, whole = ({k: (v / (sum(x.values()) or 1.0) + PRIOR_SHARE * first[k][i]) / (1 + PRIOR_SHARE) for k, v in x.items()} for i, x in enumerate((a, b)))
         # What ends whole values elsewhere can't come to speak for a cut, however many values of one text share a length.
         cut = {k: min(v, RARER * whole[k]) if PRIOR[k][1] < 1 else v for k, v in cut.items()}
         share = {limit: min(0.999, hit[limit] / seen[limit]) for limit in share}
