@@ -32,6 +32,8 @@ from quillmark.runtime import staged
 
 #: Values that a beginning must have been seen in, and the share without an end up to which it opens sentences.
 LEAST, LOOSE = 3, 0.3
+#: Values that the first word of a beginning is worth against both words together.
+BACK_OFF = 20.0
 #: Rows of a table of beginnings up to which it is broadcast (under 20 MB); beyond, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: What is believed of a field before its values are seen, with the weight of PRIOR_SHARE of them: P(kind | cut) and P(kind | cut) / P(kind | whole).
@@ -156,10 +158,12 @@ def _flags(rows: DataFrame) -> DataFrame:
     link = F.regexp_extract(last, r"(?i)((https?://|www\.)\S*)$", 1)
     letters, known = _letters(link), _letters(F.col("known"))
     linked = (link != "") & F.col("known").isNotNull()
-    rows = rows.withColumn("link", link != "").withColumn("short", F.coalesce(linked & (F.length(letters) < F.length(known)) & F.startswith(known, letters), F.lit(False)))
+    rows = rows.withColumn("short", F.coalesce(linked & (F.length(letters) < F.length(known)) & F.startswith(known, letters), F.lit(False)))
+    # The known address may have been typed with blanks, so that its last stretch alone is no address.
+    closing = F.coalesce((known != "") & F.endswith(_letters(F.right(v, F.length("known") + 16)), known), F.lit(False))
     same = F.coalesce(linked & (letters == known), F.lit(False))
     marked = F.right(v, F.lit(64)).rlike(_MARK) & ~same  # an address may end in dots of its own
-    return rows.withColumn("marked", marked).withColumn("decimal", last.rlike(r"(^|\s)0\.$")).withColumn("ended", last.rlike(_END)).drop("last")
+    return rows.withColumn("link", (link != "") | closing).withColumn("marked", marked).withColumn("decimal", last.rlike(r"(^|\s)0\.$")).withColumn("ended", last.rlike(_END)).drop("last")
 
 
 def _ends(rows: DataFrame) -> DataFrame:
@@ -170,22 +174,28 @@ def _ends(rows: DataFrame) -> DataFrame:
 
     segments = flagged.select("field", F.explode(F.split("v", r"(?<=[.?!])\s+")).alias("seg")).filter("seg <> ''")
     open_ = F.when(F.col("seg").rlike(_END) & ~F.col("seg").rlike(_MARK), 0).otherwise(1)
-    begun = segments.select("field", _starts(F.col("seg")).alias("starts"), open_.alias("open")).groupBy("field", "starts").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
-    begun = begun.select("field", F.explode("starts").alias("start"), "n", "open").groupBy("field", "start").agg(F.sum("n").alias("n"), F.sum("open").alias("open"))
-    openers = begun.filter(F.col("n") >= LEAST).select("field", "start", (F.col("open") < LOOSE * F.col("n")).alias("opens"))
+    # The second word of an unfinished segment of two may itself be cut: it is no beginning.
+    several = F.size(F.split("seg", r"\s+", 3)) > 2
+    begun = segments.select("field", _starts(F.col("seg")).alias("starts"), open_.alias("open"), (several | (open_ == 0)).alias("whole"))
+    begun = begun.groupBy("field", "starts", "whole").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
+    known = F.when(F.col("whole"), F.col("starts")).otherwise(F.slice("starts", 2, 1))
+    begun = begun.select("field", F.explode(known).alias("start"), "n", "open").groupBy("field", "start").agg(F.sum("n").alias("n"), F.sum("open").alias("open"))
+    openers = begun.filter(F.col("n") >= LEAST).select("field", "start", "n", "open")
     openers = _small(staged(openers, "openers"))
 
     split = F.split("v", r"(?<=[.?!])\s+")
     loose = flagged.filter(is_loose).select("field", "id", "source", F.length("raw").alias("len"), "marked", "short", "link", "decimal", (F.size(split) > 1).alias("later"), F.element_at(split, -1).alias("seg"))
     a = loose.withColumn("starts", _starts(F.col("seg")))
     for k in range(3):
-        o = openers.select("field", F.col("start").alias(f"s{k}"), F.col("opens").alias(f"o{k}"))
+        o = openers.select("field", F.col("start").alias(f"s{k}"), F.col("n").alias(f"n{k}"), F.col("open").alias(f"o{k}"))
         a = a.withColumn(f"s{k}", F.get("starts", F.lit(k))).join(o, ["field", f"s{k}"], "left")
-    # The address at the beginning says little by itself: what follows it decides.
-    opened = F.when(F.col("s1") == "<url>", F.coalesce("o0", F.lit(False))).otherwise(F.coalesce("o0", "o1", "o2", F.lit(False)))
+    # Two words say what their first one says, until they have been seen often themselves; an address says nothing, so that what follows it decides.
+    general = F.when(F.col("s1") == "<url>", 1.0).otherwise(F.coalesce(F.col("o1") / F.col("n1"), F.col("o2") / F.col("n2"), F.lit(1.0)))
+    without = (F.coalesce("o0", F.lit(0)) + BACK_OFF * general) / (F.coalesce("n0", F.lit(0)) + BACK_OFF)
+    opened = without < LOOSE
     # A last word alone that is the beginning of a word that opens sentences.
     begins = F.transform(F.sequence(F.lit(1), F.length("start")), lambda n: F.substr("start", F.lit(1), n))
-    heads = openers.filter("opens and instr(start, ' ') = 0").select("field", F.explode(begins).alias("seg")).distinct()
+    heads = openers.filter((F.col("open") < LOOSE * F.col("n")) & (F.instr("start", " ") == 0)).select("field", F.explode(begins).alias("seg")).distinct()
     a = a.join(_small(heads).withColumn("head", F.lit(True)), ["field", "seg"], "left")
     a = a.withColumn("opened", opened | (F.coalesce("head", F.lit(False)) & F.col("later")))
     return a.select("field", "id", "source", "len", "marked", "short", "link", "decimal", "seg", "opened")
