@@ -374,14 +374,14 @@ def _rivals(pairs: Broadcast, id_type: str):
 
 
 def _em(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Log weights of one source's chains against no damage, from the counts of its records by their chains and gains (in steps of 1, up to 60)."""
-    first = math.exp(PRIOR)
+    """Log weights of one source's chains against no damage, from the counts of its records by their chains and gains (in steps of 1)."""
     shown = [([(c, math.exp(g)) for c, g in zip(cs, gs, strict=True)], n) for cs, gs, n in zip(pdf["chains"], pdf["steps"], pdf["n"], strict=True)]
     clean = float(pdf["total"].iloc[0]) - float(pdf["n"].sum())
-    w = {c: first for s, _ in shown for c, _ in s}
-    none = 1.0 - min(0.5, first * len(w))
+    first = {c: math.exp(PRIOR * (c.count(" < ") + 1)) for s, _ in shown for c, _ in s}  # each layer is as rare
+    w = dict(first)
+    none = 1.0 - min(0.5, sum(w.values()))
     for _ in range(ROUNDS):
-        got, rest = dict.fromkeys(w, first), clean + 1.0
+        got, rest = dict(first), clean + 1.0
         for s, n in shown:
             z = none + sum(w[c] * e for c, e in s)
             for c, e in s:
@@ -409,13 +409,15 @@ def repair(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
         pairs[r.pair] = max(0, pairs.get(r.pair, 0) + r.n)
     evidence = staged(looked.select("id", "pool", "text").mapInPandas(*_rivals(sc.broadcast(pairs), kind)), "evidence")
     sizes = rows.groupBy("pool").agg(F.count(F.lit(1)).alias("total"))
-    step = F.transform("rivals", lambda r: F.least(F.floor(r["gain"]), F.lit(60)).cast("double"))
+    # Gains count up to 60 for the best chain; those of its rivals keep their distance from it.
+    beyond = F.greatest(F.get("rivals", F.lit(0))["gain"] - 60, F.lit(0.0))
+    step = F.transform("rivals", lambda r: F.floor(r["gain"] - beyond).cast("double"))
     pools = evidence.groupBy("pool", F.transform("rivals", lambda r: r["chain"]).alias("chains"), step.alias("steps")).agg(F.count(F.lit(1)).alias("n")).join(sizes, "pool")
     odds = pools.groupBy("pool").applyInPandas(_em, "pool string, chain string, odds double")
     odds = odds.groupBy("pool").agg(F.map_from_entries(F.collect_list(F.struct("chain", "odds"))).alias("odds"))
     heavy = heavy_keys(evidence.groupBy("pool").agg(F.count(F.lit(1)).alias("n")), evidence.count())
     j = split_join(evidence, odds, ["pool"], heavy)
-    weigh = lambda r: F.struct(F.least(r["gain"] + F.try_element_at("odds", r["chain"]), F.lit(60.0)).alias("s"), r["chain"].alias("chain"), r["restored"].alias("restored"))
+    weigh = lambda r, k: F.struct((r["gain"] - beyond + F.try_element_at("odds", r["chain"])).alias("s"), (-k).alias("k"), r["chain"].alias("chain"), r["restored"].alias("restored"))
     j = j.withColumn("c", F.transform("rivals", weigh)).withColumn("best", F.array_max("c"))
     j = j.withColumn("z", F.aggregate("c", F.lit(0.0), lambda a, r: a + F.exp(r["s"])))
     # Chains that give one text speak for it together.
