@@ -377,19 +377,22 @@ def _em(pdf: pd.DataFrame) -> pd.DataFrame:
     """Log weights of one source's chains against no damage, from the counts of its records by their chains and gains (in steps of 1)."""
     shown = [([(c, math.exp(g)) for c, g in zip(cs, gs, strict=True)], n) for cs, gs, n in zip(pdf["chains"], pdf["steps"], pdf["n"], strict=True)]
     clean = float(pdf["total"].iloc[0]) - float(pdf["n"].sum())
-    first = {c: math.exp(PRIOR * (c.count(" < ") + 1)) for s, _ in shown for c, _ in s}  # each layer is as rare
-    w = dict(first)
+    chains = {c for s, _ in shown for c, _ in s}
+    first = math.exp(PRIOR)
+    # A layer more is as rare as damage itself, whatever the source's weights: a longer chain must gain that much more.
+    layer = {c: math.exp(PRIOR * c.count(" < ")) for c in chains}
+    w = dict.fromkeys(chains, first)
     none = 1.0 - min(0.5, sum(w.values()))
     for _ in range(ROUNDS):
-        got, rest = dict(first), clean + 1.0
+        got, rest = dict.fromkeys(chains, first), clean + 1.0
         for s, n in shown:
-            z = none + sum(w[c] * e for c, e in s)
+            z = none + sum(w[c] * layer[c] * e for c, e in s)
             for c, e in s:
-                got[c] += n * w[c] * e / z
+                got[c] += n * w[c] * layer[c] * e / z
             rest += n * none / z
         total = rest + sum(got.values())
         w, none = {c: x / total for c, x in got.items()}, rest / total
-    return pd.DataFrame({"pool": pdf["pool"].iloc[0], "chain": list(w), "odds": [math.log(x / none) for x in w.values()]})
+    return pd.DataFrame({"pool": pdf["pool"].iloc[0], "chain": list(w), "odds": [math.log(x * layer[c] / none) for c, x in w.items()]})
 
 
 def repair(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
