@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from quillmark.functions.url import bare as url_bare
 
 # Stop words, entity names that are none, section titles of methods.
-STOP_WORDS = (
-    "a able about across after all almost also am among an and any are as at be because been but by can cannot could dear did do does either else ever every for from get got "
-    "had has have he her hers him his how however i if in into is it its just least let like likely may me might most must my neither no nor not of off often on only or other "
-    "our own rather said say says she should since so some than that the their them then there these they this tis to too twas us wants was we were what when where which while "
-    "who whom why will with would yet you your"
-).split()
+STOP_WORDS = [
+    "a", "able", "about", "across", "after", "all", "almost", "also", "am", "among", "an", "and", "any", "are", "as", "at", "be", "because", "been",
+    "but", "by", "can", "cannot", "could", "dear", "did", "do", "does", "either", "else", "ever", "every", "for", "from", "get", "got", "had", "has",
+    "have", "he", "her", "hers", "him", "his", "how", "however", "i", "if", "in", "into", "is", "it", "its", "just", "least", "let", "like", "likely",
+    "may", "me", "might", "most", "must", "my", "neither", "no", "nor", "not", "of", "off", "often", "on", "only", "or", "other", "our", "own",
+    "rather", "said", "say", "says", "she", "should", "since", "so", "some", "than", "that", "the", "their", "them", "then", "there", "these", "they",
+    "this", "tis", "to", "too", "twas", "us", "wants", "was", "we", "were", "what", "when", "where", "which", "while", "who", "whom", "why", "will",
+    "with", "would", "yet", "you", "your",
+]
 NOISE_ENTITIES = ["program", "programs", "code", "libraries", "interface", "using", "Biomedical"]
 METHODS_PATTERN = r"^techniques$|method|procedure|experiment"
 TOKEN_PATTERN = r"(\p{L}[\p{L}\p{P}]+\p{L})"
@@ -152,3 +155,8 @@ def jaccard(a: Column, b: Column) -> Column:
 def containment(a: Column, b: Column) -> Column:
     """Share of a that lies in b."""
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+
+
+def split_period(tokens: Column) -> Column:
+    """Tokens without a single full stop at their end."""
+    return F.transform(tokens, lambda x: F.regexp_replace(x, r"(?<=[^.])\.$", ""))

@@ -51,6 +51,15 @@ def unique_containment(entities: DataFrame, entity: str, names: DataFrame, name:
     return hits.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).filter("n = 1").drop("n")
 
 
+def named(entities: DataFrame, entity: str, names: DataFrame, name: str, key: str) -> DataFrame:
+    """(entity, key): the row of that name, else of that name ignoring case (of several the largest key), else the only one whose name contains it."""
+    e = entities.select(F.col(entity).alias("entity")).filter("entity <> ''").distinct()
+    by = lambda form, k: names.filter(names[name].isNotNull()).groupBy(form(names[name]).alias("form")).agg(F.max(names[key]).alias(k))
+    x = e.join(by(lambda c: c, "k1").withColumnRenamed("form", "entity"), "entity", "left").withColumn("form", F.lower("entity")).join(by(F.lower, "k2"), "form", "left")
+    x = x.join(unique_containment(e, "entity", names, name, key).withColumnRenamed("key", "k3"), "entity", "left")
+    return x.select("entity", F.coalesce("k1", "k2", "k3").alias("key")).filter("key is not null")
+
+
 def curated(rows: DataFrame, hosts: DataFrame, pages: DataFrame) -> DataFrame:
     """rows(id, host, page) with the registry id of the page's own entry, else that of its host: hosts(host, registry_id), pages(page, registry_id)."""
     h = hosts.select("host", F.col("registry_id").alias("_h"))

@@ -66,13 +66,6 @@ def fl22_threshold(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "rd_paper_reference").filter("c_score >= 0.8 and not isnan(c_score)").select("id", "c_score")
 
 
-@query("SELECT id, row_number() OVER (ORDER BY registry_id NULLS FIRST, pubmed_id NULLS FIRST, id) AS place FROM rd_paper_reference QUALIFY place <= 1000")
-def so01_sorted(spark: SparkSession, d: str) -> DataFrame:
-    order = [F.asc_nulls_first("registry_id"), F.asc_nulls_first("pubmed_id"), F.asc("id")]
-    top = table(spark, d, "rd_paper_reference").select("id", "registry_id", "pubmed_id").orderBy(*order).limit(1000)  # the first page of the report
-    return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).select("id", "place")
-
-
 @query("""SELECT l.id FROM (SELECT id, publisher_id, row_number() OVER (PARTITION BY publisher_id ORDER BY exec_time, id) AS k FROM rd_publisher_query_log) l JOIN rd_publisher p ON l.publisher_id = p.id WHERE k <= p.connections_allowed / 100 - 10""")
 def so07_quota(spark: SparkSession, d: str) -> DataFrame:
     log = table(spark, d, "rd_publisher_query_log").select("id", "publisher_id", "exec_time")
@@ -122,29 +115,13 @@ def tx06_fixed_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT u.id, coalesce(n.context, u.context) AS context FROM rd_urls u LEFT JOIN (SELECT doc_id, url, arg_max(context, id) AS context FROM rd_urls WHERE batch_id = '201512' AND context IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1, 2) n
 ON n.doc_id = u.doc_id AND n.url = u.url WHERE u.batch_id <> '201512' OR u.batch_id IS NULL""")
-def pi02_refresh_context(spark: SparkSession, d: str) -> DataFrame:
+def pi02_refresh_context(spark: SparkSession, d: str, batch: str = "201512") -> DataFrame:
     u = _urls(spark, d, "id", "doc_id", "url", "context", "batch_id")
-    new = u.filter("batch_id = '201512' and context is not null and doc_id is not null").groupBy("doc_id", "url").agg(F.max_by("context", "id").alias("_c"))
-    old = u.filter("batch_id <> '201512' or batch_id is null")
+    new = u.filter((F.col("batch_id") == batch) & F.col("context").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id", "url").agg(F.max_by("context", "id").alias("_c"))
+    old = u.filter((F.col("batch_id") != batch) | F.col("batch_id").isNull())
     return old.join(new, ["doc_id", "url"], "left").select("id", F.coalesce("_c", "context").alias("context"))
 
 
-@query("""SELECT id, CASE WHEN url IS NULL OR NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*:.+') THEN -1 ELSE len(regexp_extract_all(lower(coalesce(description, '')), '(database|repository|atlas|ontology|biobank)')) END AS score FROM rd_urls""")
-def pi05_score(spark: SparkSession, d: str) -> DataFrame:
-    """Hits of a dictionary stand for the annotation service; an address that is none scores -1."""
-    hits = F.size(F.regexp_extract_all(F.lower(F.coalesce("description", F.lit(""))), F.lit("(database|repository|atlas|ontology|biobank)"), F.lit(1)))
-    return _urls(spark, d, "id", F.when(F.col("url").isNull() | ~F.col("url").rlike(url.VALID_PATTERN), -1).otherwise(hits).alias("score"))
-
-
-@query("""WITH m AS (SELECT d.doc_id, r.id AS registry_id FROM documents d JOIN registry r ON d.registry_id = r.id WHERE length(r.abbrev) > 3 AND NOT regexp_matches(r.abbrev, '^[0-9.]*$'))
-SELECT m.doc_id, m.registry_id, EXISTS (SELECT 1 FROM rd_urls u WHERE u.doc_id = m.doc_id AND u.registry_id = m.registry_id) AS duplicate FROM m""")
-def pi06_entities(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "registry").filter(~text.is_noise(F.col("abbrev"))).select(F.col("id").alias("registry_id"))
-    m = table(spark, d, "documents").select("doc_id", "registry_id").join(r, "registry_id")
-    known = _urls(spark, d, "doc_id", "registry_id").distinct().withColumn("_k", F.lit(True))
-    return m.join(known, ["doc_id", "registry_id"], "left").select("doc_id", "registry_id", F.coalesce("_k", F.lit(False)).alias("duplicate"))
-
-
 @query("""SELECT r.id, coalesce(r.authors, o.authors) AS authors, CASE WHEN trim(coalesce(r.description, '')) = '' THEN o.description ELSE r.description END AS description FROM rd_paper_reference r LEFT JOIN (
   SELECT pubmed_id, registry_id, arg_max(authors, id) FILTER (authors IS NOT NULL) AS authors, arg_max(description, id) FILTER (description IS NOT NULL) AS description FROM rd_paper_reference WHERE pubmed_id IS NOT NULL AND registry_id IS NOT NULL GROUP BY 1, 2) o
   ON o.pubmed_id = r.pubmed_id AND o.registry_id = r.registry_id""")
@@ -157,13 +134,6 @@ def pi07_enrich(spark: SparkSession, d: str) -> DataFrame:
     return j.select("id", F.coalesce("authors", "_authors").alias("authors"), F.when(empty, F.col("_description")).otherwise(F.col("description")).alias("description"))
 
 
-@query(f"""WITH {_VERSIONS} SELECT v.registry_id, d.batch_id AS latest, md5(d.text) <> md5(o.text) AS changed FROM v JOIN documents d ON d.doc_id = last_id JOIN documents o ON o.doc_id = first_id""")
-def pi13_update_check(spark: SparkSession, d: str) -> DataFrame:
-    v = _versions(spark, d)
-    batch = table(spark, d, "documents").select(F.col("doc_id").alias("last_id"), F.col("batch_id").alias("latest"))
-    return v.withColumn("changed", F.md5("first") != F.md5("last")).select("registry_id", "last_id", "changed").join(batch, "last_id").select("registry_id", "latest", "changed")
-
-
 @query("""SELECT id, coalesce(nullif(trim(title), ''), '(none)') AS title, regexp_extract(file_path, '([12]\\d\\d\\d)_[A-Z][a-z][a-z]_\\d{1,2}[\\(_]', 1) AS year FROM rd_paper WHERE pubmed_id IS NOT NULL""")
 def pi19_paper_repair(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "rd_paper").filter("pubmed_id is not null")
@@ -196,12 +166,6 @@ def sk14_job_log(spark: SparkSession, d: str) -> DataFrame:
     return _urls(spark, d, "batch_id").groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows")).select("batch_id", F.lit("extract").alias("operation"), F.lit("finished").alias("status"), "rows")
 
 
-@query("""SELECT p.id, r.id AS ref_id FROM rd_paper p JOIN rd_paper_reference r ON r.pubmed_id = p.pubmed_id WHERE r.registry_id = 1""")
-def sr05_keyed_lookup(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "rd_paper_reference").filter("registry_id = 1").select(F.col("id").alias("ref_id"), "pubmed_id")
-    return table(spark, d, "rd_paper").select("id", "pubmed_id").join(r, "pubmed_id").select("id", "ref_id")
-
-
 @query("""WITH l AS (SELECT doc_id, arg_max(status, (batch_id, id)) AS label FROM (SELECT c.id, c.status, c.batch_id, u.doc_id FROM rd_resource_candidate c JOIN rd_urls u ON c.url_id = u.id WHERE u.doc_id IS NOT NULL AND c.status IS NOT NULL) GROUP BY 1)
 SELECT u.id, l.label FROM rd_urls u JOIN l USING (doc_id)""")
 def pi14_labels(spark: SparkSession, d: str) -> DataFrame:

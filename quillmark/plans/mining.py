@@ -136,8 +136,8 @@ def tx14_span_categories(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {_KEYS}, forms AS (SELECT id, {registry_form_sql('url')} AS c FROM rd_urls WHERE batch_id = '201512' AND url IS NOT NULL), {_VARIANTS}, hit AS (SELECT DISTINCT id FROM tries JOIN keys USING (key))
 SELECT c AS norm, min(id) AS url_id, count(*) AS mentions FROM forms WHERE id NOT IN (SELECT id FROM hit) GROUP BY 1""")
-def pi03_candidates(spark: SparkSession, d: str) -> DataFrame:
-    u = _urls(spark, d, "id", "url", "batch_id").filter("batch_id = '201512' and url is not null")
+def pi03_candidates(spark: SparkSession, d: str, batch: str = "201512") -> DataFrame:
+    u = _urls(spark, d, "id", "url", "batch_id").filter((F.col("batch_id") == batch) & F.col("url").isNotNull())
     linked = lookup.variant_lookup(u, "id", "url", lookup.registry_keys(table(spark, d, "registry"))).filter("registry_id is not null")
     new = u.join(linked.select("id"), "id", "left_anti").withColumn("norm", url.registry_form(F.col("url")))
     return new.groupBy("norm").agg(F.min("id").alias("url_id"), F.count(F.lit(1)).alias("mentions"))
@@ -228,10 +228,10 @@ def pi23_repoint(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH c AS (SELECT id, score FROM rd_urls WHERE batch_id = '201512' AND NOT isnan(score)), t AS (SELECT id, c_score AS score FROM rd_urls WHERE batch_id <> '201506' OR batch_id IS NULL)
 SELECT coalesce(c.id, t.id) AS id, CASE WHEN c.id IS NOT NULL THEN c.score ELSE t.score END AS score FROM t FULL JOIN c ON c.id = t.id""")
-def sk04_upsert(spark: SparkSession, d: str) -> DataFrame:
+def sk04_upsert(spark: SparkSession, d: str, batch: str = "201512", dropped: str = "201506") -> DataFrame:
     u = _urls(spark, d, "id", "score", "c_score", "batch_id")
-    changes = u.filter("batch_id = '201512' and score is not null and not isnan(score)").select("id", "score")
-    return lookup.upsert(u.filter("batch_id <> '201506' or batch_id is null").select("id", F.col("c_score").alias("score")), changes, ["id"], ["score"])
+    changes = u.filter((F.col("batch_id") == batch) & F.col("score").isNotNull() & ~F.isnan("score")).select("id", "score")
+    return lookup.upsert(u.filter((F.col("batch_id") != dropped) | F.col("batch_id").isNull()).select("id", F.col("c_score").alias("score")), changes, ["id"], ["score"])
 
 
 QUERIES = Q

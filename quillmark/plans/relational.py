@@ -393,21 +393,6 @@ def so02_latest_log(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "rd_publisher_query_log").orderBy(F.desc("exec_time"), F.desc("id")).limit(1).select("id", "query_str")
 
 
-@query("SELECT publication_name, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, publication_name NULLS FIRST) AS place FROM rd_paper_reference GROUP BY 1 QUALIFY place <= 100")
-def so03_frequent_first(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "rd_paper_reference").groupBy("publication_name").agg(F.count(F.lit(1)).alias("n"))
-    top = n.orderBy(F.desc("n"), F.asc_nulls_first("publication_name")).limit(100)  # a report of the first hundred
-    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), F.asc_nulls_first("publication_name"))))
-
-
-@query("""SELECT initial, abbrev, n FROM (SELECT lower(substr(abbrev, 1, 1)) AS initial, abbrev, count(*) AS n FROM registry WHERE abbrev <> '' GROUP BY 1, 2)
-QUALIFY row_number() OVER (PARTITION BY initial ORDER BY n DESC, abbrev) <= 10""")
-def so04_by_initial(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "registry").filter("abbrev <> ''").groupBy(F.lower(F.substring("abbrev", 1, 1)).alias("initial"), "abbrev").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("initial").orderBy(F.desc("n"), "abbrev")
-    return n.withColumn("k", F.row_number().over(w)).filter("k <= 10").drop("k")
-
-
 @query(f"""SELECT host, path, n FROM (SELECT {host_sql('url')} AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, count(*) AS n FROM rd_urls GROUP BY 1, 2)
 WHERE host IS NOT NULL QUALIFY row_number() OVER (PARTITION BY host ORDER BY n DESC, path) <= 11""")
 def so05_top_paths(spark: SparkSession, d: str) -> DataFrame:

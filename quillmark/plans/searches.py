@@ -79,9 +79,9 @@ def tx17_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT doc_id, url FROM rd_urls WHERE batch_id < '201506'), n AS (SELECT DISTINCT doc_id, url FROM rd_urls WHERE batch_id >= '201506' AND doc_id IS NOT NULL AND url IS NOT NULL)
 SELECT n.doc_id, n.url FROM n WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.doc_id = n.doc_id AND t.url = n.url)""")
-def sk02_insert_absent(spark: SparkSession, d: str) -> DataFrame:
+def sk02_insert_absent(spark: SparkSession, d: str, batch: str = "201506") -> DataFrame:
     u = table(spark, d, "rd_urls").select("doc_id", "url", "batch_id")
-    return search.insert_absent(u.filter("batch_id < '201506'"), u.filter("batch_id >= '201506'").select("doc_id", "url"), ["doc_id", "url"])
+    return search.insert_absent(u.filter(F.col("batch_id") < batch), u.filter(F.col("batch_id") >= batch).select("doc_id", "url"), ["doc_id", "url"])
 
 
 @query("SELECT id FROM rd_paper_reference WHERE id < (SELECT max(id) // 2 FROM rd_paper_reference)")

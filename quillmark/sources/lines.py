@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,12 +59,52 @@ def cached_pages(spark: SparkSession, path: str) -> DataFrame:
     return x.select(F.col("_url").alias("url"), F.col("`_redirect-url`").alias("redirect_url"), "title", "description", "content")
 
 
+#: How the CSV files are written and read: every value in quotes, nothing trimmed.
+_CSV = {"quoteAll": "true", "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.options(**_CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).options(**_CSV).csv(path)
+
+
 def host_types(spark: SparkSession, path: str) -> DataFrame:
     """(host, type) of a CSV with the host in the first and the type in the third column."""
-    x = spark.read.csv(path)
+    x = spark.read.options(**_CSV).csv(path)
     return x.select(F.lower(F.trim("_c0")).alias("host"), F.lower(F.trim("_c2")).alias("type"))
 
 
+def registry_dump(spark: SparkSession, path: str) -> DataFrame:
+    """(id, freetext) of the <article> elements of a registry dump."""
+    return spark.read.schema("id long, freetext string").format("xml").option("rowTag", "article").load(path)
+
+
+def sparse_lines(counts: DataFrame, doc: str, term: str, n: str) -> DataFrame:
+    """(doc, line): `n id:count ...` of each document, ids ascending."""
+    pairs = counts.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(term, n))).alias("p"))
+    return pairs.select(doc, F.concat_ws(" ", F.size("p").cast("string"), F.array_join(F.transform("p", lambda x: F.concat_ws(":", x[term], x[n])), " ")).alias("line"))
+
+
+def topic_line(key: Column, content: Column) -> Column:
+    """`key X content`, the training line of the topic models."""
+    return F.concat_ws(" ", key, F.lit("X"), content)
+
+
+def marked_entity(sentence: Column, name: Column) -> Column:
+    """The sentence as XML with every occurrence of the name as an entity; null where it doesn't occur."""
+    safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    s, n = safe(sentence), safe(name)
+    return F.when(F.contains(s, n), F.concat(F.lit("<sentence>"), F.replace(s, n, F.concat(F.lit("<entity>"), n, F.lit("</entity>"))), F.lit("</sentence>")))
+
+
+def read_database(spark: SparkSession, address: str, name: str, **options: str) -> DataFrame:
+    """A table of a second database, its schema as the database gives it; partitionColumn, lowerBound, upperBound and numPartitions spread the read."""
+    return spark.read.format("jdbc").options(url=address, dbtable=name, **options).load()
+
+
 def write_libsvm(df: DataFrame, path: str) -> None:
     """(label, features) as svm-light lines."""
     df.select("label", "features").write.format("libsvm").save(path)

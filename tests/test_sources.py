@@ -13,6 +13,7 @@ from quillmark.runtime import table
 from quillmark.sources import articles, lines, pages, publishers
 from quillmark.streaming import validation
 
+DATA = "/root/testdata/sf0.001"
 ARTICLE = """<?xml version="1.0"?><article xmlns:xlink="http://www.w3.org/1999/xlink"><front><journal-meta><journal-title>J Test</journal-title></journal-meta><article-meta>
 <article-id pub-id-type="pmid">12</article-id><article-id pub-id-type="pmc">34</article-id><title-group><article-title>On <i>cells</i></article-title></title-group>
 <author-notes><p>Write to http://no.example</p></author-notes></article-meta></front><body><sec><title>Introduction</title><p>See <ext-link xlink:href="http://a.example/x">here</ext-link> first</p></sec>
@@ -165,3 +166,27 @@ def test_stream_of_checks(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.site: (r.run, r.down) for r in spark.sql("select * from down_sites").collect()}
     assert got == {1: (4, True), 2: (0, False)}
+
+
+def test_jobs_take_a_batch_and_leave_no_intermediate_tables(spark, tmp_path):
+    from quillmark import cli
+    from quillmark.plans import QUERIES
+
+    assert all(q in QUERIES for q, _ in cli.JOBS.values())
+    for batch in ("201511", "201512"):
+        cli.main(["find-candidates", "--data", DATA, "--out", f"{tmp_path}/{batch}", "-d", batch])
+        n = spark.read.parquet(f"{tmp_path}/{batch}").agg(F.sum("mentions")).first()[0]
+        assert 0 < n <= spark.read.parquet(f"{DATA}/rd_urls.parquet").filter(F.col("batch_id") == batch).count()
+    with pytest.raises(SystemExit):
+        cli.main(["topics", "--data", DATA, "--out", "x", "-d", "201512"])
+
+
+def test_second_database(spark):
+    address = "jdbc:derby:memory:quillmark;create=true"
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string")
+    try:
+        rows.write.format("jdbc").options(url=address, dbtable="source").save()
+    except Exception as e:  # no driver in this build
+        pytest.skip(str(e)[:80])
+    got = lines.read_database(spark, address, "source")
+    assert sorted(map(tuple, got.collect())) == [(1, "a"), (2, None)]
