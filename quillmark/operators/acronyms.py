@@ -131,10 +131,23 @@ def cluster_variants(pairs: DataFrame) -> DataFrame:
     return n.groupBy("acronym").applyInPandas(_clusters, "acronym string, expansion string, n long, cluster_id int, canonical string")
 
 
-def statistics(clusters: DataFrame) -> DataFrame:
-    """(acronyms, senses, mean, sd): senses an acronym has."""
-    s = clusters.groupBy("acronym").agg(F.countDistinct("cluster_id").alias("k"))
-    return s.agg(F.count(F.lit(1)).alias("acronyms"), F.sum("k").alias("senses"), F.avg("k").alias("mean"), F.stddev_samp("k").alias("sd"))
+def statistics(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One row of figures over pairs(id, acronym, expansion) and their clusters.
+
+    definitions, papers and definitions a paper; acronyms, their distinct expansions (ignoring case) and clusters, with mean and
+    sample standard deviation an acronym; acronyms of one cluster; expansions a cluster; definitions and share of the
+    most frequent acronym.
+    """
+    found = pairs.agg(F.count(F.lit(1)).alias("definitions"), F.countDistinct("id").alias("papers"))
+    per = clusters.groupBy("acronym").agg(F.countDistinct(F.lower("expansion")).alias("e"), F.countDistinct("cluster_id").alias("k"), F.sum("n").alias("n"))
+    each = per.agg(
+        F.count(F.lit(1)).alias("acronyms"), F.sum("e").alias("expansions"), F.avg("e").alias("mean_expansions"), F.stddev_samp("e").alias("sd_expansions"),
+        F.sum("k").alias("senses"), F.avg("k").alias("mean"), F.stddev_samp("k").alias("sd"), F.count_if(F.col("k") == 1).alias("of_one_sense"), F.max("n").alias("most"),
+    )
+    x = found.crossJoin(each)  # one row each
+    return x.select(
+        "*", F.try_divide("definitions", "papers").alias("per_paper"), F.try_divide("expansions", "senses").alias("variants_per_sense"), F.try_divide("most", "definitions").alias("share_of_most")
+    )
 
 
 def weighted_distance_column(a, b):

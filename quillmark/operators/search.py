@@ -55,6 +55,10 @@ def word_list(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
 
 
+#: First words of names up to which they are broadcast to filter the texts' words; beyond, they are joined by shuffle.
+FIRST_WORDS = 200_000
+
+
 def annotate(docs: DataFrame, id_col: str, content: str, names: DataFrame) -> DataFrame:
     """(id, key, pos): every place (word number from 0) where a name(name, key) stands in a text, word by word, ignoring case.
 
@@ -63,8 +67,11 @@ def annotate(docs: DataFrame, id_col: str, content: str, names: DataFrame) -> Da
     n = names.select("key", word_list(F.col("name")).alias("nw")).filter(F.size("nw") > 0).select("key", "nw", F.get("nw", F.lit(0)).alias("w"), F.size("nw").alias("k"))
     d = docs.select(docs[id_col].alias("id"), word_list(docs[content]).alias("dw"))
     longest = n.agg(F.max("k")).first()[0] or 0
-    # Each word goes out with the few words after it, not with the whole text.
-    d = d.select("id", F.posexplode("dw").alias("pos", "w"), "dw").select("id", "pos", "w", F.slice("dw", F.col("pos") + 1, F.lit(longest)).alias("next"))
+    firsts = n.select("w").distinct()
+    if firsts.count() <= FIRST_WORDS:
+        firsts = F.broadcast(firsts)
+    # Words that begin no name stay where they are; the others go out with the few words after them, not with the whole text.
+    d = d.select("id", F.posexplode("dw").alias("pos", "w"), "dw").join(firsts, "w", "left_semi").select("id", "pos", "w", F.slice("dw", F.col("pos") + 1, F.lit(longest)).alias("next"))
     return d.join(n, "w").filter((F.slice("next", F.lit(1), F.col("k")) == F.col("nw"))).select("id", "key", "pos")
 
 

@@ -18,10 +18,13 @@ def vocabulary(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def tfidf(counts: DataFrame, n_docs: int, augmented: bool = True) -> DataFrame:
-    """(doc, term, weight): tf, or 0.5 + 0.5 tf / max tf of the document, times ln(n / df)."""
+def tfidf(counts: DataFrame, n_docs: int, augmented: bool = True, only: DataFrame | None = None) -> DataFrame:
+    """(doc, term, weight): tf, or 0.5 + 0.5 tf / max tf of the document, times ln(n / df). only(doc): the documents to weigh; df counts all."""
+    seen = vocabulary(counts)
+    if only is not None:
+        counts = counts.join(only.select("doc").distinct(), "doc", "left_semi")
     tf = 0.5 + 0.5 * F.col("tf") / F.max("tf").over(Window.partitionBy("doc")) if augmented else F.col("tf").cast("double")
-    w = counts.withColumn("w", tf).join(vocabulary(counts), "term")
+    w = counts.withColumn("w", tf).join(seen, "term")
     return w.select("doc", "term", (F.col("w") * F.log(F.lit(float(n_docs)) / F.col("df"))).alias("weight"))
 
 

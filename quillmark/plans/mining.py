@@ -60,9 +60,9 @@ df AS (SELECT term, count(*) AS df FROM c GROUP BY 1), n AS (SELECT count(*) AS
 w AS (SELECT doc_id, term, (0.5 + 0.5 * tf / max(tf) OVER (PARTITION BY doc_id)) * ln(n / CAST(df AS DOUBLE)) AS weight FROM c JOIN df USING (term), n)"""
 
 
-def _weights(spark, d):
+def _weights(spark, d, only=None):
     docs = _docs(spark, d)
-    return similarity.tfidf(similarity.term_counts(docs, "doc_id", text.tokens(F.col("text"))), docs.count())
+    return similarity.tfidf(similarity.term_counts(docs, "doc_id", text.tokens(F.col("text"))), docs.count(), only=only)
 
 
 @query(f"WITH {_TFIDF} SELECT doc_id, count(*) AS terms, round(sum(weight), 5) AS total, round(sqrt(sum(weight * weight)), 5) AS norm FROM w GROUP BY 1")
@@ -86,7 +86,7 @@ SELECT v.first_id, v.last_id, round(CASE WHEN coalesce(x.norm * y.norm, 0) = 0 T
 FROM v LEFT JOIN dots USING (registry_id) LEFT JOIN norms x ON x.doc_id = first_id LEFT JOIN norms y ON y.doc_id = last_id""")
 def tx07_version_cosine(spark: SparkSession, d: str) -> DataFrame:
     v = _versions(spark, d).select(F.col("first_id").alias("a"), F.col("last_id").alias("b"))
-    c = similarity.pair_cosine(v, _weights(spark, d))
+    c = similarity.pair_cosine(v, _weights(spark, d, v.select(F.explode(F.array("a", "b")).alias("doc"))))
     return c.select(F.col("a").alias("first_id"), F.col("b").alias("last_id"), F.round("cosine", 6).alias("cosine"))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.operators import acronyms, models
-from quillmark.runtime import table
+from quillmark.runtime import staged, table
 from quillmark.sources import pages
 
 
@@ -19,12 +21,17 @@ def ac01_acronyms(spark: SparkSession, d: str) -> DataFrame:
     return acronyms.mine(_named(spark, d), "id", "t")
 
 
+def _mined(spark, d):
+    return acronyms.cleaned(acronyms.mine(_named(spark, d), "id", "t"))
+
+
 def ac02_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return acronyms.cluster_variants(acronyms.cleaned(acronyms.mine(_named(spark, d), "id", "t")))
+    return acronyms.cluster_variants(_mined(spark, d))
 
 
 def ac03_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return acronyms.statistics(ac02_clusters(spark, d))
+    pairs = staged(_mined(spark, d), "acronyms")
+    return acronyms.statistics(pairs, acronyms.cluster_variants(pairs))
 
 
 def ud17_weighted_distance(spark: SparkSession, d: str) -> DataFrame:
@@ -56,11 +63,17 @@ def _labelled(spark, d):
     return table(spark, d, "documents").filter("text is not null and kind is not null").select("doc_id", "text", F.when(F.col("kind") == "site", "good").otherwise("bad").alias("class"))
 
 
-def ml01_classifier(spark: SparkSession, d: str) -> DataFrame:
-    x = _labelled(spark, d)
-    train, test = models.split_by_key(x, "doc_id", 7)
-    out = models.classify(models.train_classifier(train, "text", "class"), test)
-    return models.quality(out.withColumn("label", (F.col("class") == "good").cast("double")))
+def ml01_classifier(spark: SparkSession, d: str, seeds: range = range(10)) -> DataFrame:
+    """Quality on held-out rows for each of ten splits, and the macro average of these (seed null)."""
+    x = staged(_labelled(spark, d), "labelled")
+    parts = []
+    for seed in seeds:
+        train, test = models.split_by_key(x, "doc_id", seed)
+        out = models.classify(models.train_classifier(train, "text", "class"), test)
+        parts.append(models.quality(out.withColumn("label", (F.col("class") == "good").cast("double"))).select(F.lit(seed).alias("seed"), "*"))
+    every = staged(functools.reduce(DataFrame.unionByName, parts), "quality")
+    mean = every.agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")], *[F.avg(c).alias(c) for c in ("precision", "recall", "f1")])
+    return every.unionByName(mean.select(F.lit(None).cast("int").alias("seed"), "*"))
 
 
 def _described(spark, d):
