@@ -14,8 +14,8 @@ spelling are one spelling from the start.
 
 Defined cases: null, empty and blank names are left out; names are trimmed, otherwise kept as stored; a name without
 any letter is an entity of its own; titles and acronyms in brackets don't count; ambiguous initials (two full names
-fit) are linked to neither; an empty table gives an empty result; names of any length are aligned in full up to 16 tokens,
-longer ones match by equal token roots alone.
+fit) are linked to neither; an empty table gives an empty result; names of any length are aligned in full; a nickname of
+several given names stands for itself.
 """
 
 from __future__ import annotations
@@ -29,6 +29,10 @@ from pyspark.sql import functions as F
 from quillmark.runtime import staged
 
 LONG = 4
+#: Tokens up to which all assignments are tried; the way of longer names gives the same in polynomial time.
+FEW = 5
+#: Rows of the list of given names up to which it is broadcast.
+BROADCAST_ROWS = 10_000
 #: Titles, words that don't distinguish organisations, and words with their usual short forms.
 TITLES = ["dr", "prof", "professor", "mr", "mrs", "ms", "sir", "phd", "md", "jr", "sr"]
 FILL = ["the", "of", "for", "and", "in", "at", "f", "on"]
@@ -79,7 +83,7 @@ def assignment(a: tuple[str, ...], b: tuple[str, ...], cost) -> float:
     """Least total cost of pairing all tokens of a with all of b, one to one; infinite if they can't be paired."""
     if len(a) != len(b):
         return float("inf")
-    if len(a) > 16:
+    if len(a) > FEW:
         return _matching(a, b, cost)
     layer = {0: 0.0}
     for x in a:
@@ -185,7 +189,10 @@ def persons(names: DataFrame, given: DataFrame) -> DataFrame:
     """
     full = given.select(F.lower("given_name").alias("token"), F.lower("given_name").alias("given"))
     short = given.select(F.lower("nickname").alias("token"), F.lower("given_name").alias("given"))
-    ref = full.unionByName(short).filter("token is not null").groupBy("token").agg(F.min("given").alias("given"))
+    both = full.withColumn("own", F.lit(True)).unionByName(short.withColumn("own", F.lit(False))).filter("token is not null")
+    ref = both.groupBy("token").agg(F.max("own").alias("own"), F.countDistinct("given").alias("n"), F.min("given").alias("given"))
+    ref = staged(ref.select("token", F.when(F.col("own") | (F.col("n") > 1), F.col("token")).otherwise(F.col("given")).alias("given")), "given")
+    small = F.broadcast if ref.count() <= BROADCAST_ROWS else (lambda df: df)
     clean = F.regexp_replace(F.trim("name"), r"(?i)^(" + "|".join(TITLES) + r")\b\.?\s+|,?\s+(" + "|".join(TITLES[-4:]) + r")\.?$", "")
     parts = F.filter(F.split(clean, r"[^\p{L}\p{N}'’-]+"), lambda w: w != "")
     x = names.select("name", parts.alias("w"), F.instr(clean, ",").alias("comma"))
@@ -197,10 +204,10 @@ def persons(names: DataFrame, given: DataFrame) -> DataFrame:
     long = each.filter("not initial")
     counts = long.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     # Names of the list outweigh every count, so that slips of given names go to the list.
-    counts = counts.join(F.broadcast(ref.select("token", F.lit(1).alias("listed"))), "token", "full").select(F.lit("person").alias("kind"), "token", (F.coalesce("n", F.lit(0)) + F.when(F.col("listed") == 1, 10**12).otherwise(0)).alias("n"))
+    counts = counts.join(small(ref.select("token", F.lit(1).alias("listed"))), "token", "full").select(F.lit("person").alias("kind"), "token", (F.coalesce("n", F.lit(0)) + F.when(F.col("listed") == 1, 10**12).otherwise(0)).alias("n"))
     roots = token_roots(counts)
     long = long.join(roots.select("token", "root"), "token", "left").withColumn("root", F.coalesce("root", "token"))
-    long = long.join(F.broadcast(ref.withColumnRenamed("token", "root")), "root", "left")
+    long = long.join(small(ref.withColumnRenamed("token", "root")), "root", "left")
     # The surname: before a comma the first word; else the last word that isn't a listed given name, else the last.
     last = F.when(F.col("comma") > 0, F.when(F.col("pos") == 0, 3).otherwise(0)).otherwise(F.when(F.col("given").isNull(), 2).otherwise(1))
     s = long.groupBy("name").agg(F.max_by(F.struct("pos", "root"), F.struct(last.alias("k"), F.col("pos").alias("p"))).alias("s"))
