@@ -144,20 +144,23 @@ def zone_names(spark: SparkSession) -> list[str]:
     return sorted(z for z in spark._jvm.java.time.ZoneId.getAvailableZoneIds() if "/" in z and not z.startswith(("SystemV", "Etc/")))
 
 
-def _em(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Mixture weights of one source from the counts of its sets of readings (a few dozen rows); a "!" marks a reading against the known order."""
-    sets = [([(f.rstrip("!"), 1 / CONTRARY if f.endswith("!") else 1.0) for f in s.split("|")], n) for s, n in zip(pdf["readings"], pdf["n"], strict=True)]
-    names = sorted({f for s, _ in sets for f, _ in s})
-    w = dict.fromkeys(names, 1 / len(names))
-    for _ in range(ROUNDS):
-        got = dict.fromkeys(names, 1e-3)  # smoothing: a notation never seen alone keeps a little weight
-        for s, n in sets:
-            total = sum(w[f] * prior for f, prior in s)
-            for f, prior in s:
-                got[f] += n * w[f] * prior / total
-        total = sum(got.values())
-        w = {f: x / total for f, x in got.items()}
-    return pd.DataFrame({"source": pdf["source"].iloc[0], "format": names, "weight": [w[f] for f in names]})
+def _em(rounds: int):
+    def weights(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Mixture weights of one source from the counts of its sets of readings (a few dozen rows); a "!" marks a reading against the known order."""
+        sets = [([(f.rstrip("!"), 1 / CONTRARY if f.endswith("!") else 1.0) for f in s.split("|")], n) for s, n in zip(pdf["readings"], pdf["n"], strict=True)]
+        names = sorted({f for s, _ in sets for f, _ in s})
+        w = dict.fromkeys(names, 1 / len(names))
+        for _ in range(rounds):
+            got = dict.fromkeys(names, 1e-3)  # smoothing: a notation never seen alone keeps a little weight
+            for s, n in sets:
+                total = sum(w[f] * prior for f, prior in s)
+                for f, prior in s:
+                    got[f] += n * w[f] * prior / total
+            total = sum(got.values())
+            w = {f: x / total for f, x in got.items()}
+        return pd.DataFrame({"source": pdf["source"].iloc[0], "format": names, "weight": [w[f] for f in names]})
+
+    return weights
 
 
 def _readings(x: DataFrame, spark: SparkSession) -> DataFrame:
@@ -178,11 +181,11 @@ def _readings(x: DataFrame, spark: SparkSession) -> DataFrame:
     return x.withColumn("r", F.when((F.size("r") > 0) & ~F.exists("r", lambda s: s["prior"] == 1), F.concat("r", none)).otherwise(F.col("r")))
 
 
-def normalise(df: DataFrame, locale: DataFrame, keys: list[str], value: str = "value", source: str = "source") -> DataFrame:
+def normalise(df: DataFrame, locale: DataFrame, keys: list[str], value: str = "value", source: str = "source", rounds: int = ROUNDS) -> DataFrame:
     """keys, source, value, format, norm, status, posterior of every row. locale: (source, time_zone, day_order), one row per source.
 
     status is 'read', 'ambiguous' or 'unreadable'; posterior is that of the norm, null where there is none. Values are
-    parsed once per source. A broadcast of locale or of the fitted weights happens only under Spark's own size threshold
+    parsed once per source; with no rounds every notation weighs the same. A broadcast of locale or of the fitted weights happens only under Spark's own size threshold
     or BROADCAST_ROWS; the number of sources may grow.
     """
     rows = df.select(*[df[k].alias(f"k{n}") for n, k in enumerate(keys)], df[source].alias("source"), df[value].alias("value"))
@@ -195,7 +198,7 @@ def normalise(df: DataFrame, locale: DataFrame, keys: list[str], value: str = "v
     x = staged(x.withColumn("readings", name), "readings")  # read twice; the parsing is the costly part
 
     sets = x.filter("readings <> ''").groupBy(F.col("pool").alias("source"), "readings").agg(F.sum("n").alias("n"))
-    weights = sets.groupBy("source").applyInPandas(_em, "source string, format string, weight double")
+    weights = sets.groupBy("source").applyInPandas(_em(rounds), "source string, format string, weight double")
     weights = weights.groupBy(F.col("source").alias("pool")).agg(F.map_from_entries(F.collect_list(F.struct("format", "weight"))).alias("w"))
     if weights.count() <= BROADCAST_ROWS:
         weights = F.broadcast(weights)

@@ -191,6 +191,8 @@ def test_known_orders_are_priors_and_the_values_of_a_source_decide_without_them(
         assert got.filter("status = 'read' and not posterior >= 0.9").count() == 0
     assert len(both["known"]) > 10 and {s for _, s in both["known"].values()} == {"read"}
     assert both["learned"] == both["known"]  # enough values of each source have one reading alone
+    off = timestamps.normalise(rows_, known.withColumn("day_order", F.lit(None).cast("string")), ["tbl", "id"], rounds=0)
+    assert off.filter(slash).filter("status = 'ambiguous'").count() > 0.6 * len(both["known"])  # all but those with one number for day and month
     contrary = spark.createDataFrame([(i, "25/12/2010", "1") for i in range(50)] + [(99, "03/04/2010", "1")], "id int, value string, source string")
     got = {r.id: (r.norm, r.status) for r in timestamps.normalise(contrary, _locale(spark), ["id"]).collect()}
     assert got[0] == (None, "unreadable") and got[99] == ("2010-03-04", "read")
