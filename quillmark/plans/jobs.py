@@ -177,7 +177,7 @@ def pi14_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT p.pubmed_id, count(DISTINCT u.registry_id) AS resources FROM rd_paper p JOIN rd_urls u ON u.doc_id = p.id WHERE p.pubmed_id IS NOT NULL GROUP BY 1""")
-def ag06_document_frequency(spark: SparkSession, d: str) -> DataFrame:
+def ag18_resources_per_paper(spark: SparkSession, d: str) -> DataFrame:
     pairs = _urls(spark, d, "doc_id", "registry_id").join(_papers(spark, d).filter("pubmed_id is not null"), "doc_id").select("pubmed_id", "registry_id").distinct()
     return pairs.groupBy("pubmed_id").agg(F.count("registry_id").alias("resources"))
 

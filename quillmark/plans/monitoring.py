@@ -140,7 +140,7 @@ def tx19_growing_vectors(spark: SparkSession, d: str) -> DataFrame:
     return counts.join(vocabulary, "term").select("doc_id", "term_id", "tf")
 
 
-@query("""SELECT doc_id, len(list_filter(w, lambda x: length(x) > 1)) AS tokens, list_aggregate(list_transform(list_filter(list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[^.]\\.$') THEN substr(x, 1, length(x) - 1) ELSE x END), lambda x: length(x) > 1), lambda x: length(x)), 'sum') AS letters
+@query("""SELECT doc_id, len(list_filter(w, lambda x: length(x) > 1)) AS tokens, CAST(list_aggregate(list_transform(list_filter(list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[^.]\\.$') THEN substr(x, 1, length(x) - 1) ELSE x END), lambda x: length(x) > 1), lambda x: length(x)), 'sum') AS INTEGER) AS letters
 FROM (SELECT doc_id, regexp_extract_all(text, '([\\p{L}\\p{N}][^\\s,;:!?()]*)', 1) AS w FROM documents WHERE text IS NOT NULL)""")
 def tx13_split_tokens(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of a classifier: those of one character go, a single full stop at the end is split off."""

@@ -306,15 +306,21 @@ def ag13_pair_sets(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy("pubmed_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("registry_id")), lambda x: x.cast("string")), ",").alias("registry_ids"))
 
 
-@query("""WITH t AS (SELECT kind = 'site' AS truth, contains(text, 'database') AS guess FROM documents WHERE text IS NOT NULL),
-n AS (SELECT count(*) FILTER (truth AND guess) AS tp, count(*) FILTER (NOT truth AND guess) AS fp, count(*) FILTER (truth AND NOT guess) AS fn FROM t)
-SELECT tp, fp, fn, round(tp / CAST(tp + fp AS DOUBLE), 6) AS precision, round(tp / CAST(tp + fn AS DOUBLE), 6) AS recall, round(2.0 * tp / (2 * tp + fp + fn), 6) AS f1 FROM n""")
+@query("""WITH t AS (SELECT batch_id, status = 'accepted' AS truth, score >= 3 AND NOT isnan(score) AS guess FROM rd_resource_candidate WHERE status IN ('accepted', 'rejected') AND score IS NOT NULL),
+n AS (SELECT batch_id, count(*) FILTER (truth AND guess) AS tp, count(*) FILTER (NOT truth AND guess) AS fp, count(*) FILTER (truth AND NOT guess) AS fn FROM t GROUP BY 1),
+q AS (SELECT *, tp / CAST(nullif(tp + fp, 0) AS DOUBLE) AS precision, tp / CAST(nullif(tp + fn, 0) AS DOUBLE) AS recall, 2.0 * tp / nullif(2 * tp + fp + fn, 0) AS f1 FROM n)
+SELECT batch_id, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM q
+UNION ALL SELECT 'all', CAST(sum(tp) AS BIGINT), CAST(sum(fp) AS BIGINT), CAST(sum(fn) AS BIGINT), round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6) FROM q""")
 def ag15_precision_recall(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").filter("text is not null").select((F.col("kind") == "site").alias("truth"), F.col("text").contains("database").alias("guess"))
-    n = t.agg(F.count_if(F.expr("truth and guess")).alias("tp"), F.count_if(F.expr("not truth and guess")).alias("fp"), F.count_if(F.expr("truth and not guess")).alias("fn"))
-    part = lambda a, b: F.round(F.try_divide(a, b), 6)
+    """How well a score tells accepted submissions from rejected ones, batch by batch, and the macro average of these."""
+    c = table(spark, d, "rd_resource_candidate").filter("status in ('accepted', 'rejected') and score is not null")
+    t = c.select("batch_id", (F.col("status") == "accepted").alias("truth"), ((F.col("score") >= 3) & ~F.isnan("score")).alias("guess"))
+    n = t.groupBy("batch_id").agg(F.count_if(F.expr("truth and guess")).alias("tp"), F.count_if(F.expr("not truth and guess")).alias("fp"), F.count_if(F.expr("truth and not guess")).alias("fn"))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return n.select("tp", "fp", "fn", part(tp, tp + fp).alias("precision"), part(tp, tp + fn).alias("recall"), part(2.0 * tp, 2 * tp + fp + fn).alias("f1"))
+    q = n.select("batch_id", "tp", "fp", "fn", F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(2.0 * tp, 2 * tp + fp + fn).alias("f1"))
+    counts, parts = ["tp", "fp", "fn"], ["precision", "recall", "f1"]
+    macro = q.agg(*[F.sum(k).alias(k) for k in counts], *[F.avg(k).alias(k) for k in parts]).select(F.lit("all").alias("batch_id"), *counts, *parts)
+    return q.unionByName(macro).select("batch_id", *counts, *[F.round(k, 6).alias(k) for k in parts])
 
 
 @query(f"SELECT split_part(host, '.', -1) AS tld, count(*) AS n FROM (SELECT {host_sql('url')} AS host FROM rd_urls) WHERE contains(host, '.') GROUP BY 1")
