@@ -181,7 +181,8 @@ def test_known_orders_are_priors_and_the_values_of_a_source_decide_without_them(
     """On the whole table: what the mixture decides, with and without the publishers' known orders."""
     from quillmark.plans.general import dates_of, orders
 
-    rows_, known = dates_of(spark, DATA), orders(spark, DATA)
+    data = "/root/testdata/sf0.01"  # the smallest has four such values
+    rows_, known = dates_of(spark, data), orders(spark, data)
     slash = F.col("value").rlike("^ *(0?[1-9]|1[0-2])/(0?[1-9]|1[0-2])/[0-9]{4} *$")
     both = {}
     for name, locale in (("known", known), ("learned", known.withColumn("day_order", F.lit(None).cast("string")))):
