@@ -193,6 +193,8 @@ def normalise(df: DataFrame, locale: DataFrame, keys: list[str], value: str = "v
     where = locale.select(F.concat(F.lit("="), F.col("source")).alias("pool"), "time_zone", F.lower("day_order").alias("day_order")).dropDuplicates(["pool"])
     x = rows.filter("value is not null").groupBy("pool", "value").agg(F.count(F.lit(1)).alias("n")).join(where, "pool", "left")
     x = x.withColumn("v", F.trim(F.regexp_replace("value", r"[\s ]+", " ")))
+    # Parsing costs far more than its few bytes suggest: without a number of tasks they would be merged into a handful.
+    x = x.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "pool", "value")
     x = _readings(x, df.sparkSession).select("pool", "value", "n", "r")
     name = F.array_join(F.transform("r", lambda s: F.concat(s["format"], F.when(s["prior"] < 1, "!").otherwise(""))), "|")
     x = staged(x.withColumn("readings", name), "readings")  # read twice; the parsing is the costly part
