@@ -1,6 +1,7 @@
 """General operators and functions: literal cases, invariants, defined results of odd input."""
 
 import datetime as dt
+import random
 from zoneinfo import ZoneInfo
 
 import pytest
@@ -236,3 +237,28 @@ def test_annotations_of_names_of_any_length(spark):
     docs = spark.createDataFrame([(1, "The cell atlas; a CELL"), (2, f"x {long.upper()} y"), (3, long[:-3]), (4, None)], "id int, t string")
     assert sorted(map(tuple, search.annotate(docs, "id", "t", names).collect())) == [(1, 1, 1), (1, 3, 1), (1, 3, 4), (2, 2, 1)]
     assert search.annotate(docs, "id", "t", names.filter("key = 4")).count() == 0
+
+
+def test_contained_against_brute_force(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("ab.") for _ in range(rng.randint(0, 24))) for _ in range(300)]
+    values, names = [*words[:150], None, "x"], [(w, i) for i, w in enumerate(words[130:])] + [("x", 900), (None, 901)]
+    least = {}
+    for w, i in names:
+        least[w] = min(i, least.get(w, i))
+    expected = {}
+    for v in {v for v in values if v is not None}:
+        hit = [(abs(len(v) - len(w)), i) for w, i in least.items() if w is not None and (v == w or (len(w) >= 4 and w in v) or (len(v) >= 4 and v in w))]
+        if hit:
+            expected[v] = min(hit)[1]
+    got = search.contained(spark.createDataFrame([(v,) for v in values], "value string"), spark.createDataFrame(names, "name string, key int"))
+    assert dict(map(tuple, got.collect())) == expected
+
+
+def test_contained_of_long_strings(spark):
+    """The pieces of a string grow with its length, not with its square, in which they would fill any memory here."""
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdefghij") for _ in range(8_000))
+    values, names = [(long,), (long[300:1300],)], [(long[7000:7050], 1), ("k" + long[40:90], 2), (long[:6_000], 3)]
+    got = search.contained(spark.createDataFrame(values, "value string"), spark.createDataFrame(names, "name string, key int"))
+    assert sorted(map(tuple, got.collect()), key=lambda r: len(r[0])) == [(long[300:1300], 3), (long, 3)]
