@@ -262,3 +262,24 @@ def test_contained_of_long_strings(spark):
     values, names = [(long,), (long[300:1300],)], [(long[7000:7050], 1), ("k" + long[40:90], 2), (long[:6_000], 3)]
     got = search.contained(spark.createDataFrame(values, "value string"), spark.createDataFrame(names, "name string, key int"))
     assert sorted(map(tuple, got.collect()), key=lambda r: len(r[0])) == [(long[300:1300], 3), (long, 3)]
+
+
+def test_nearest_against_brute_force(spark, monkeypatch):
+    """Blocks of queries and documents meet pair by pair, and no row stands for a product of two weights."""
+    monkeypatch.setattr(search, "BLOCK", 16)
+    rng = random.Random(7)
+    side = lambda n: {i: {f"t{t}": float(rng.randint(0, 3)) for t in rng.sample(range(12), rng.randint(1, 4))} for i in range(n)}
+    queries, docs = side(40), side(60)
+    expected = {}
+    for q, a in queries.items():
+        hits = []
+        for d, b in docs.items():
+            if dot := sum(w * b.get(t, 0.0) for t, w in a.items()):
+                size = sum(w * w for w in a.values()) ** 0.5 * sum(w * w for w in b.values()) ** 0.5
+                hits.append((-round(dot / size, 9), d))
+        if hits:
+            expected[q] = min(hits)[1]
+    frame = lambda x: spark.createDataFrame([(i, t, w) for i, v in x.items() for t, w in v.items()], "doc long, term string, weight double")
+    got = search.nearest(frame(queries), frame(docs))
+    assert {r.query: r.doc for r in got.collect()} == expected
+    assert "FlatMapCoGroupsInPandas" in got._jdf.queryExecution().executedPlan().toString()
