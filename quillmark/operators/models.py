@@ -70,16 +70,20 @@ def topics_of(model, df: DataFrame, content: str) -> DataFrame:
 
 
 def document_words(model, df: DataFrame, id_col: str, content: str, most: int = 100) -> DataFrame:
-    """(id, word): the words of each text that are among the heaviest of a topic the text has a share in, each once."""
-    heavy = topic_words(model, most).groupBy("word").agg(F.collect_set("topic").alias("of"))
-    x = topics_of(model, df.select(id_col, content), content).select(F.col(id_col).alias("id"), "topics", F.explode(F.array_distinct(text.tokens(F.col(content)))).alias("word"))
-    return x.join(heavy, "word").filter(F.exists("of", lambda t: F.get("topics", t) > 0)).select("id", "word")
+    """(id, word): the words of each text that are among the heaviest of a topic the text has a share in, each once.
+
+    The prior gives every text with a word of the vocabulary a share above 0 in every topic, so that no share has to be worked out:
+    for that MLlib holds several copies of the whole matrix of words by topics in the driver.
+    """
+    heavy = topic_words(model, most).select("word").distinct()
+    x = df.filter(F.col(content).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.array_distinct(text.tokens(F.col(content)))).alias("word"))
+    return x.join(heavy, "word").select("id", "word")
 
 
 def topic_words(model, most: int = 10) -> DataFrame:
     """(topic, place, word, weight): the heaviest words of each topic; the vocabulary is bounded."""
     cv, lda = model
-    spark = lda.describeTopics(1).sparkSession
-    names = spark.createDataFrame([(i, w) for i, w in enumerate(cv.vocabulary)], "i int, word string")
     d = lda.describeTopics(most).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t"))
-    return d.select("topic", (F.col("place") + 1).alias("place"), F.col("t.termIndices").alias("i"), F.col("t.termWeights").alias("weight")).join(names, "i").drop("i")
+    rows = d.select("topic", F.col("place") + 1, "t.termIndices", "t.termWeights").collect()  # topics times most, whatever the vocabulary
+    names = cv.vocabulary
+    return d.sparkSession.createDataFrame([(t, k, names[i], w) for t, k, i, w in rows], "topic int, place int, word string, weight double")

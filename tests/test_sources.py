@@ -147,6 +147,17 @@ def test_topics_read_every_text(spark):
     assert sorted(words[0]) == ["delta", "epsilon", "zeta"] and sorted(words[101]) == ["lonelya", "raresta"] and not {900, 901} & set(words)
 
 
+def test_topic_words_without_the_matrix_in_the_driver(spark, monkeypatch):
+    """Every share is above 0, so the words are those found by working the shares out, which takes the whole matrix to the driver."""
+    df = spark.createDataFrame([(i, "alpha beta gamma" if i % 2 else "delta epsilon zeta eta") for i in range(40)] + [(90, ""), (91, "the of")], "id long, t string")
+    model = models.train_topics(df, "t", topics=3, rounds=2)
+    heavy = models.topic_words(model, 2).groupBy("word").agg(F.collect_set("topic").alias("of"))
+    x = models.topics_of(model, df, "t").select("id", "topics", F.explode(F.array_distinct(F.split("t", " "))).alias("word")).join(heavy, "word")
+    expected = {(r.id, r.word) for r in x.collect() if any(r.topics[t] > 0 for t in r.of)}
+    monkeypatch.setattr(models, "topics_of", None)
+    assert {tuple(r) for r in models.document_words(model, df, "id", "t", 2).collect()} == expected
+
+
 def test_topics_are_registered_in_full(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(models, "train_topics", lambda df, content, topics=100, rounds=20, seed=1: seen.append((df.count(), topics, rounds)))
