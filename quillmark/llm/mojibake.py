@@ -136,8 +136,9 @@ class Model:
         return v
 
     def word(self, w: str) -> float:
-        total, prev = 0.0, " "
-        for ch in w + " ":
+        """Of a word between its neighbours."""
+        total, prev = 0.0, _kind(w[0])
+        for ch in w[1:]:
             p = prev + _kind(ch)
             v = self._two.get(p)
             if v is None:
@@ -188,6 +189,12 @@ def words_of(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _neighboured(text: str, words: list[tuple[int, int]]) -> list[str]:
+    """The words with the character before and the one after, by kind: a dash between digits is another pair than one between blanks."""
+    at = lambda i: _kind(text[i]) if 0 <= i < len(text) else " "
+    return [at(i - 1) + text[i:j] + at(j) for i, j in words]
+
+
 def _put_right(text: str, codec: str, model: Model) -> tuple[float, str]:
     """(gain in log likelihood, text) with every trace of UTF-8 read by the codec put right."""
     m, gain = _BYTES[codec], 0.0
@@ -246,7 +253,7 @@ def _swaps(text: str, model: Model) -> list[tuple[float, int, list, list[int]]]:
     Any gain is evidence, even that of a single word; the source decides whether it holds.
     """
     words = words_of(text)
-    plain = [text[i:j] for i, j in words]
+    plain = _neighboured(text, words)
     able = [n for n, g in model.better(plain).items() if g + SWITCH > 0]
     if not able:
         return []
@@ -291,7 +298,7 @@ def _trace(text: str, model: Model) -> bool:
     """Whether a chain comes near to a gain."""
     if "\ufffd" in text or any(g > LOOK for g in _utf8_gains(text, model) if g):
         return True
-    return any(g + SWITCH > LOOK for g in model.better([text[i:j] for i, j in words_of(text)]).values())
+    return any(g + SWITCH > LOOK for g in model.better(_neighboured(text, words_of(text))).values())
 
 
 #: The beginning of a trace without its end.
@@ -299,20 +306,33 @@ _TORN = re.compile("[ÃÂ](?=[\\s.,;]|$)|â€(?![\x80-\xbf‘-™])")
 
 
 def diagnose(text: str, model: Model, rivals: int = RIVALS) -> list[tuple[str, float, str]]:
-    """(chain, gain, restored text or "" if characters are lost) of the chains that may explain a text, the best first; none for a text without traces."""
+    """(chain, gain, restored text or "" if characters are lost) of the chains that may explain a text, the best first; none for a text without traces.
+
+    A chain and the one with a layer more are rivals: what is gained by a layer needn't be worth it.
+    """
     if "\ufffd" in text:
         return [("lost", 50.0, "")]
     found = []
     for total, chain, now in _options(text, model, rivals):
+        stages = [(chain, total, now)]
         # Layer under layer: each gains, so that no text comes twice.
         while under := _options(now, model, 1):
             gain, layer, now = under[0]
             total, chain = total + gain, f"{chain} < {layer}"
-        torn = "cp1252" in chain and _TORN.search(now) and not _TORN.search(text.upper() if text.isupper() else "")
-        found.append((chain, total, "" if torn else now))
+            stages.append((chain, total, now))
+        for chain, gain, now in stages:
+            if gain >= total - MARGIN:
+                torn = "cp1252" in chain and _TORN.search(now) and not _TORN.search(text.upper() if text.isupper() else "")
+                found.append((chain, gain, "" if torn else now))
     return sorted(found, key=lambda f: -f[1])
 
 
+def likeliest(found: list[tuple[str, float, str]]) -> str | None:
+    """The restored text of the likeliest of some chains before anything is known of the source; None if no damage is likelier."""
+    score, now = max(((gain + PRIOR * (chain.count(" < ") + 1), now) for chain, gain, now in found), default=(0.0, None), key=lambda x: x[0])
+    return now if score > 0 else None
+
+
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     c: Counter = Counter()
     for pdf in batches:
@@ -337,8 +357,7 @@ def _looked(pairs: Broadcast, id_type: str):
             rows = []
             for i, s, t in zip(pdf["id"], pdf["pool"], pdf["text"], strict=True):
                 if _trace(t, model):
-                    d = diagnose(t, model, 1)
-                    rows.append((i, s, t, d[0][2] if d else None))
+                    rows.append((i, s, t, likeliest(diagnose(t, model, 1))))
             yield pd.DataFrame(rows, columns=["id", "pool", "text", "restored"])
 
     return run, f"id {id_type}, pool string, text string, restored string"

@@ -50,6 +50,16 @@ def test_the_posterior_chooses_between_chains(spark):
     assert len(rivals) >= 1
 
 
+def test_counts_of_a_large_corpus_turn_no_dash():
+    """Dashes between digits are no unseen characters, however often others are seen; nor do they add a layer to a repair."""
+    counts = mojibake.Counter()
+    for t in ("5–9 µm", "привет по пути"):
+        mojibake.pairs_of(t, counts)
+    model = mojibake.Model({p: 1_000_000 * n for p, n in counts.items()})
+    assert mojibake.diagnose("of 5–9 mm", model) == []
+    assert mojibake.likeliest(mojibake.diagnose("of 5–9 mm".encode().decode("cp1252"), model)) == "of 5–9 mm"
+
+
 @pytest.mark.parametrize("depth", [1, 3, 6])
 def test_layers_of_any_number(spark, depth):
     text = "façade – 5 µm naïve"
