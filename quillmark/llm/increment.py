@@ -39,8 +39,13 @@ from quillmark.runtime import stage_path, staged
 SHARE = 0.8
 #: Index entries of one key that a probe meets at once; keys with more are refined, after their FIRST entries.
 FAN, FIRST = 1000, 32
-#: Rows of small batches that one step over a history takes together: it bounds what batches of a step may have to settle among themselves.
-STEP_ROWS = 20_000
+#: Rows of small batches that one step over a history takes together, or a STEPS-th of all rows where that is more: each step reads the store, so
+#: their number must not grow with the rows.
+STEP_ROWS, STEPS = 20_000, 4
+#: Pairs a row, at most, that the segments of a larger step may hold: they aren't refined, so a step with more is taken in parts of STEP_ROWS.
+STEP_PAIRS = 200
+#: Nodes of a bucket: fewer buckets than shuffle partitions, as each step writes and reads a file of each.
+BUCKET_ROWS = 40_000
 
 
 def host(url: Column) -> Column:
@@ -53,7 +58,7 @@ def host(url: Column) -> Column:
 
 def word_set(text: Column) -> Column:
     """Sorted distinct runs of letters and digits in lower case; null for null."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))))
+    return F.sort_array(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))))
 
 
 def _tolerance(size: Column, share: float) -> Column:
@@ -230,7 +235,7 @@ def _rows(rows: DataFrame) -> DataFrame:
     """One row per id: (id, batch, addr, host, words, set, node); rows without address and set match nothing and are left out."""
     rows = rows.filter("id is not null and batch is not null").select("id", "batch", "addr", "host", "words")
     words = F.when((F.col("host") != "") & (F.size("words") > 0), F.col("words"))
-    ordered = F.transform(F.array_sort(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), lambda s: s["w"])
+    ordered = F.transform(F.sort_array(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), lambda s: s["w"])
     rows = rows.withColumn("addr", F.when(F.col("addr") != "", F.col("addr"))).withColumn("words", ordered)
     digest = F.unhex(F.md5(F.concat_ws(" ", "host", F.array_join("words", " "))))
     rows = rows.withColumn("set", F.when(F.col("words").isNotNull(), digest))
@@ -269,6 +274,13 @@ def _settled(nodes: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     that the nodes of a hub never meet each other.
     """
     links = staged(similar_sets(sets, share), "links")
+    # Nodes without a neighbour keep what they have; all neighbours of the others are among the others.
+    addrs = nodes.filter("addr is not null").groupBy("addr").agg((F.count(F.lit(1)) > 1).alias("by_addr"))
+    held = nodes.filter("set is not null").select("set").unionByName(links.filter("a <> b").select(F.col("a").alias("set")))
+    held = held.groupBy("set").agg((F.count(F.lit(1)) > 1).alias("by_set"))
+    marked = staged(nodes.join(addrs, "addr", "left").join(held, "set", "left").withColumn("linked", F.coalesce("by_addr", F.lit(False)) | F.coalesce("by_set", F.lit(False))), "marked")
+    alone, nodes = marked.filter("not linked").select(*nodes.columns), marked.filter("linked").select(*nodes.columns)
+    links = links.join(nodes.select(F.col("set").alias("a")).distinct(), "a", "left_semi")
     state = nodes.withColumn("accepted", F.when(F.col("p").isNotNull(), F.lit(False)))
     while True:
         live = staged(state, "state")
@@ -284,7 +296,7 @@ def _settled(nodes: DataFrame, sets: DataFrame, share: float) -> DataFrame:
         partner = F.when(~F.coalesce(F.col("accepted"), F.lit(False)) & hit, F.least("p", q)).otherwise(F.col("p"))
         if not live.filter("accepted is null").limit(1).count():
             # All is decided: the earliest accepted neighbour of each repeat.
-            return state.withColumn("p", partner).select(*nodes.columns)
+            return state.withColumn("p", partner).select(*nodes.columns).unionByName(alone)
         state = state.withColumn("accepted", accepted).select(*nodes.columns, "accepted")
 
 
@@ -328,32 +340,57 @@ def deduplicate_batch(rows: DataFrame, store: Store, share: float = SHARE, fan:
     return _expanded(rows, _step(staged(_nodes(rows), "nodes"), staged(_sets(rows), "sets"), store, share, fan, batches > 1, first))
 
 
-def deduplicate_history(rows: DataFrame, share: float = SHARE, fan: int = FAN, step_rows: int = STEP_ROWS) -> DataFrame:
+def _steps(counts: list[tuple[str, int]], most: int) -> list[list[tuple[str, int]]]:
+    """The batches (batch, rows) in turn: one a step, or several with `most` rows at most."""
+    steps: list[list[tuple[str, int]]] = []
+    for batch, n in counts:
+        if not steps or sum(m for _, m in steps[-1]) + n > most:
+            steps.append([])
+        steps[-1].append((batch, n))
+    return steps
+
+
+def _pairs(sets: DataFrame, share: float) -> int:
+    """Pairs of entries with one key in the index of sets(sized)."""
+    index = segment_index(sets.withColumns({"batch": F.lit(""), "id": F.lit(0)}), share)
+    n = F.col("n").cast("double")
+    return int(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(n * (n - 1))).first()[0] or 0)
+
+
+def deduplicate_history(rows: DataFrame, share: float = SHARE, fan: int = FAN, step_rows: int = STEP_ROWS, step_pairs: int = STEP_PAIRS) -> DataFrame:
     """(id, repeats): every row that repeats an accepted row, batch after batch over a store that begins empty.
 
-    A step takes one batch, or several small ones up to step_rows rows, and reads nothing but their rows and the store.
+    A step takes one batch, or several small ones up to step_rows rows or a part of all rows, and reads nothing but their rows and
+    the store. A larger step whose segments hold more than step_pairs pairs a row is taken in steps of step_rows.
     """
     spark = rows.sparkSession
     rows = _rows(rows)
-    counts = rows.groupBy("batch").agg(F.count(F.lit(1)))
-    steps: list[list[str]] = []
-    held = 0
-    for batch, n in sorted(tuple(r) for r in counts.collect()):
-        if not steps or held + n > step_rows:
-            steps.append([])
-            held = 0
-        steps[-1].append(batch)
-        held += n
+    counts = sorted(tuple(r) for r in rows.groupBy("batch").agg(F.count(F.lit(1))).collect())
+    total = sum(n for _, n in counts)
+    steps = _steps(counts, max(step_rows, total // STEPS))
     if not steps:
         return rows.select("id", F.col("id").alias("repeats"))
-    where = spark.createDataFrame([(b, k) for k, s in enumerate(steps) for b in s], "batch string, part int")  # as many rows as batches
+    where = spark.createDataFrame([(b, k) for k, s in enumerate(steps) for b, _ in s], "batch string, part int")  # as many rows as batches
     folder, parts = stage_path(spark, "parts"), rows.join(F.broadcast(where), "batch")
     parts.hint("rebalance", "part").write.partitionBy("part").parquet(folder)
     parts = spark.read.schema(parts.schema).parquet(folder)
-    store = Store(spark, stage_path(spark, "store"), dict(rows.dtypes)["id"])
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(12, total // BUCKET_ROWS))
+    store = Store(spark, stage_path(spark, "store"), dict(rows.dtypes)["id"], buckets)
+    first = True
     for k, s in enumerate(steps):
         mine = parts.filter(F.col("part") == k)
-        _step(staged(_nodes(mine), "nodes"), staged(_sets(mine), "sets"), store, share, fan, len(s) > 1, k == 0)
+        sets, n = staged(_sets(mine), "sets"), sum(m for _, m in s)
+        small = [s]
+        if len(s) > 1 and n > step_rows and _pairs(sets, share) > step_pairs * n:
+            small = _steps(s, step_rows)
+        for t in small:
+            if len(small) > 1:
+                some = mine.filter(F.col("batch").isin([b for b, _ in t]))
+                sets = staged(_sets(some), "sets")
+            else:
+                some = mine
+            _step(staged(_nodes(some), "nodes"), sets, store, share, fan, len(t) > 1, first)
+            first = False
     nodes = staged(store.read("nodes").filter("p is not null"), "repeats")
     store.close()
     return _expanded(parts, nodes)

@@ -127,6 +127,20 @@ def test_history_against_brute_force(spark, seed):
         assert rows(increment.deduplicate_history(df, step_rows=step), "id", "repeats") == _brute(data)[0]
 
 
+def test_steps_do_not_grow_with_the_batches(spark, monkeypatch):
+    data = [(r[0], f"{r[1]}{r[0] % 3}", *r[2:]) for r in _history(random.Random(5)) if r[1] <= "201302"]
+    df = spark.createDataFrame(data, "id long, batch string, addr string, host string, words array<string>")
+    taken, step = [], increment._step
+    monkeypatch.setattr(increment, "STEPS", 2)
+    monkeypatch.setattr(increment, "_step", lambda *a: (taken.append(1), step(*a))[1])
+    assert rows(increment.deduplicate_history(df, step_rows=1), "id", "repeats") == _brute(data)[0]
+    assert len(taken) <= 2 * increment.STEPS + 1 < len({r[1] for r in data}) == 6
+    # Segments with too many pairs: in small steps, with the same rows.
+    taken.clear()
+    assert rows(increment.deduplicate_history(df, step_rows=1, step_pairs=-1), "id", "repeats") == _brute(data)[0]
+    assert len(taken) == 6
+
+
 def test_batch_after_batch_gives_the_same(spark, tmp_path):
     data = [r for r in _history(random.Random(3)) if r[1] <= "201303"]
     schema = "id long, batch string, addr string, host string, words array<string>"
