@@ -7,7 +7,7 @@ from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.functions import text
@@ -26,9 +26,13 @@ def features(content: str) -> list:
     ]
 
 
+def labelled(df: DataFrame, content: str, label: str) -> DataFrame:
+    return df.filter(F.col(label).isNotNull() & (F.col(label) != "") & F.col(content).isNotNull())
+
+
 def train_classifier(df: DataFrame, content: str, label: str, good: str = "good"):
     """A linear SVM on df; rows without a label are left out. Texts must not be null."""
-    x = df.filter(F.col(label).isNotNull() & (F.col(label) != "") & F.col(content).isNotNull()).withColumn("label", (F.col(label) == good).cast("double"))
+    x = labelled(df, content, label).withColumn("label", (F.col(label) == good).cast("double"))
     return Pipeline(stages=[*features(content), LinearSVC(regParam=1e-3, maxIter=40, standardization=True)]).fit(x)
 
 
@@ -36,18 +40,27 @@ def classify(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1]).drop("rawPrediction", "words", "pairs", "bag", "features", "n_words")
 
 
+def in_training(key: str, seed: int, share: float = 0.7) -> Column:
+    """By a hash of the key, the same on every run and partitioning."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(10_000)) < int(share * 10_000)
+
+
 def split_by_key(df: DataFrame, key: str, seed: int, share: float = 0.7) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows by a hash of the key, the same on every run and partitioning."""
-    p = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(10_000)) < int(share * 10_000)
+    """Training and test rows."""
+    p = in_training(key, seed, share)
     return df.filter(p), df.filter(~p)
 
 
 def quality(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(tp, fp, fn, precision, recall, f1)."""
     y, z = F.col(label) == 1, F.col(prediction) == 1
-    n = df.agg(F.count_if(y & z).alias("tp"), F.count_if(~y & z).alias("fp"), F.count_if(y & ~z).alias("fn"))
+    return rates(df.agg(F.count_if(y & z).alias("tp"), F.count_if(~y & z).alias("fp"), F.count_if(y & ~z).alias("fn")))
+
+
+def rates(n: DataFrame) -> DataFrame:
+    """n, which has tp, fp and fn, with precision, recall and f1."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return n.select("tp", "fp", "fn", F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(2.0 * tp, 2 * tp + fp + fn).alias("f1"))
+    return n.select("*", F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(2.0 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
 def train_topics(df: DataFrame, content: str, topics: int = 100, rounds: int = 20, seed: int = 1):

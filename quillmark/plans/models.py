@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.operators import acronyms, models
+from quillmark.operators import acronyms, models, svm
 from quillmark.runtime import staged, table
 from quillmark.sources import pages
 
@@ -65,13 +63,8 @@ def _labelled(spark, d):
 
 def ml01_classifier(spark: SparkSession, d: str, seeds: range = range(10)) -> DataFrame:
     """Quality on held-out rows for each of ten splits, and the macro average of these (seed null)."""
-    x = staged(_labelled(spark, d), "labelled")
-    parts = []
-    for seed in seeds:
-        train, test = models.split_by_key(x, "doc_id", seed)
-        out = models.classify(models.train_classifier(train, "text", "class"), test)
-        parts.append(models.quality(out.withColumn("label", (F.col("class") == "good").cast("double"))).select(F.lit(seed).alias("seed"), "*"))
-    every = staged(functools.reduce(DataFrame.unionByName, parts), "quality")
+    found = svm.held_out(staged(_labelled(spark, d), "labelled"), "doc_id", "text", "class", list(seeds))
+    every = models.rates(spark.createDataFrame([(s, *f) for s, f in zip(seeds, found)], "seed int, tp bigint, fp bigint, fn bigint"))
     mean = every.agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")], *[F.avg(c).alias(c) for c in ("precision", "recall", "f1")])
     return every.unionByName(mean.select(F.lit(None).cast("int").alias("seed"), "*"))
 
