@@ -264,6 +264,15 @@ def test_contained_of_long_strings(spark):
     assert sorted(map(tuple, got.collect()), key=lambda r: len(r[0])) == [(long[300:1300], 3), (long, 3)]
 
 
+def test_contained_broadcasts_no_exploded_pieces(spark):
+    """Names of a few bytes in their file have a hundred times as many pieces: only what is bounded is broadcast, the buckets of counts and the pieces of names."""
+    got = search.contained(spark.createDataFrame([("abcdefgh",)], "value string"), spark.createDataFrame([("bcdef", 1)], "name string, key int"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join " in x]
+    assert joins and all("strategy=" in x for x in joins), plan
+    assert all("bucket" in x or "LeftSemi" in x for x in joins if "strategy=broadcast" in x)
+
+
 def test_nearest_against_brute_force(spark, monkeypatch):
     """Blocks of queries and documents meet pair by pair, and no row stands for a product of two weights."""
     monkeypatch.setattr(search, "BLOCK", 16)
