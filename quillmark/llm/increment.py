@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmark.operators.skew import heavy_keys, split_join
-from quillmark.runtime import stage_path, staged
+from quillmark.runtime import shuffled, stage_path, staged
 
 SHARE = 0.8
 #: Index entries of one key that a probe meets at once; keys with more are refined, after their FIRST entries.
@@ -116,11 +116,11 @@ def _verified(hits: DataFrame, new: DataFrame, old: DataFrame, share: float) ->
     """The hits (a, b, ...) whose whole sets are within the bounded distance. The marks of both spare most hits the texts."""
     of = lambda df, x: df.select(F.col("set").alias(x), F.col("size").alias(f"{x}_n"), F.col("m0").alias(f"{x}0"), F.col("m1").alias(f"{x}1"))
     cols = hits.columns
-    hits = hits.join(of(new, "a"), "a").withColumnRenamed("b", "set").join(of(old, "b").withColumnRenamed("b", "set"), "set")
+    hits = hits.join(shuffled(of(new, "a")), "a").withColumnRenamed("b", "set").join(shuffled(of(old, "b").withColumnRenamed("b", "set")), "set")
     apart = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
     hits = hits.filter(apart <= (F.col("a_n") + F.col("b_n")) * ((1 - share) / (1 + share)) + 1e-9).select("set", *[c for c in cols if c != "b"])
-    hits = hits.join(old.select("set", F.col("host").alias("hb"), F.col("words").alias("wb")), "set").withColumnRenamed("set", "b")
-    hits = hits.join(new.select(F.col("set").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa")), "a")
+    hits = hits.join(shuffled(old.select("set", F.col("host").alias("hb"), F.col("words").alias("wb"))), "set").withColumnRenamed("set", "b")
+    hits = hits.join(shuffled(new.select(F.col("set").alias("a"), F.col("host").alias("ha"), F.col("words").alias("wa"))), "a")
     common, both = F.size(F.array_intersect("wa", "wb")), F.size("wa") + F.size("wb")
     close = both - 2 * common <= (both - common) * (1 - share) + 1e-9
     return hits.filter((F.col("ha") == F.col("hb")) & close).select(*cols)
@@ -129,7 +129,7 @@ def _verified(hits: DataFrame, new: DataFrame, old: DataFrame, share: float) ->
 def _hits(probe: DataFrame, index: DataFrame, share: float) -> DataFrame:
     p = probe.select("key", F.col("set").alias("a"), F.col("size").alias("n"), F.col("at").alias("p"))
     i = index.select("key", F.col("set").alias("b"), "size", "seg", "at", "batch", "id")
-    return p.join(i, "key").filter(_allowed(share)).select("key", "a", "b", "batch", "id")
+    return p.join(shuffled(i), "key").filter(_allowed(share)).select("key", "a", "b", "batch", "id")
 
 
 def nearest_sets(new: DataFrame, segments: DataFrame, old: DataFrame, share: float = SHARE, fan: int = FAN) -> DataFrame:
@@ -151,22 +151,22 @@ def nearest_sets(new: DataFrame, segments: DataFrame, old: DataFrame, share: flo
         if not many:
             break
         mine, theirs = staged(probe.join(hot, "key", "left_semi"), "mine"), met.join(hot, "key", "left_semi")
-        theirs = staged(theirs.join(mine.select("key").distinct(), "key", "left_semi"), "theirs")
+        theirs = staged(theirs.join(shuffled(mine.select("key").distinct()), "key", "left_semi"), "theirs")
         turn = F.row_number().over(Window.partitionBy("key").orderBy("batch", "id"))
         first = theirs.withColumn("turn", turn).filter(F.col("turn") <= FIRST)
         settled = staged(_verified(_hits(mine, first, share), new, old, share).groupBy("key", "a").agg(F.min(F.struct("batch", "id")).alias("p")), "settled")
         found.append(settled.groupBy("a").agg(F.min("p").alias("p")))
-        mine = mine.join(settled.select("key", F.col("a").alias("set")), ["key", "set"], "left_anti")
+        mine = mine.join(shuffled(settled.select("key", F.col("a").alias("set"))), ["key", "set"], "left_anti")
         # Strings without words left are all but verified by what was cut out of them; they meet as they are.
         best = _verified(_hits(mine, theirs.filter("len = 0"), share).select(*pair).distinct(), new, old, share)
         found.append(best.groupBy("a").agg(F.min(F.struct("batch", "id")).alias("p")))
         cut, rest = F.concat("cuts", F.array(F.struct("at", "len"))), _rest(F.col("words"), F.col("cuts"))
-        mine = mine.filter("len > 0").select(F.col("key").alias("up"), "set", "size", cut.alias("cuts")).join(new.select("set", "words"), "set")
-        theirs = theirs.filter("len > 0").select(F.col("key").alias("up"), "set", "size", "batch", "id", cut.alias("cuts")).join(old.select("set", "words"), "set")
+        mine = mine.filter("len > 0").select(F.col("key").alias("up"), "set", "size", cut.alias("cuts")).join(shuffled(new.select("set", "words")), "set")
+        theirs = theirs.filter("len > 0").select(F.col("key").alias("up"), "set", "size", "batch", "id", cut.alias("cuts")).join(shuffled(old.select("set", "words")), "set")
         cols = ["key", "set", "size", "at", "len", "cuts"]
         probe = staged(_probe_entries(mine, "up", rest, share).select(*cols), "probe")
         deep = _index_entries(theirs, "up", rest, share).select(*cols, "seg", "batch", "id")
-        met = staged(deep.join(probe.select("key").distinct(), "key", "left_semi"), "met")
+        met = staged(deep.join(shuffled(probe.select("key").distinct()), "key", "left_semi"), "met")
     all_found = found[0]
     for f in found[1:]:
         all_found = all_found.unionByName(f)
@@ -219,7 +219,7 @@ class Store:
         return self.spark.table(f"{self.name}_{table}")
 
     def append(self, table: str, df: DataFrame, dealt: bool = False) -> None:
-        """Appends rows; dealt: whether they come partitioned by the table's key, as from a join on it."""
+        """Appends rows; dealt: whether they come partitioned into the table's buckets."""
         key = self.BUCKETED[table]
         df = df.select(*[c.name for c in self.spark.table(f"{self.name}_{table}").schema])
         df = df if dealt else df.repartition(self.buckets, key)
@@ -244,8 +244,8 @@ def _rows(rows: DataFrame) -> DataFrame:
     # An id that comes again counts with its first batch; only such rows are moved for it.
     twice = staged(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "twice")
     if twice.limit(1).count():
-        first = rows.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by(F.struct(*rows.columns), F.struct("batch", "node")).alias("r")).select("r.*")
-        rows = rows.join(twice, "id", "left_anti").unionByName(first)
+        first = rows.join(shuffled(twice), "id", "left_semi").groupBy("id").agg(F.min_by(F.struct(*rows.columns), F.struct("batch", "node")).alias("r")).select("r.*")
+        rows = rows.join(shuffled(twice), "id", "left_anti").unionByName(first)
     return rows.filter("addr is not null or set is not null")
 
 
@@ -260,7 +260,7 @@ def _sets(rows: DataFrame) -> DataFrame:
 def similar_sets(sets: DataFrame, share: float = SHARE) -> DataFrame:
     """(a, b) of all similar sets(sized) in both directions, and of each with itself."""
     several = sets.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("host")  # a host with one set has no pair
-    some = staged(sets.join(several, "host", "left_semi"), "some")
+    some = staged(sets.join(shuffled(several), "host", "left_semi"), "some")
     index = segment_index(some.withColumns({"batch": F.lit(""), "id": F.lit(0)}), share)
     hits = _hits(_probe_entries(some.select("set", "host", "words", "size"), "host", F.col("words"), share), index, share).filter("a <> b").select("a", "b").distinct()
     return _verified(hits, some, some, share).unionByName(sets.select(F.col("set").alias("a"), F.col("set").alias("b")))
@@ -278,9 +278,9 @@ def _settled(nodes: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     addrs = nodes.filter("addr is not null").groupBy("addr").agg((F.count(F.lit(1)) > 1).alias("by_addr"))
     held = nodes.filter("set is not null").select("set").unionByName(links.filter("a <> b").select(F.col("a").alias("set")))
     held = held.groupBy("set").agg((F.count(F.lit(1)) > 1).alias("by_set"))
-    marked = staged(nodes.join(addrs, "addr", "left").join(held, "set", "left").withColumn("linked", F.coalesce("by_addr", F.lit(False)) | F.coalesce("by_set", F.lit(False))), "marked")
+    marked = staged(nodes.join(shuffled(addrs), "addr", "left").join(shuffled(held), "set", "left").withColumn("linked", F.coalesce("by_addr", F.lit(False)) | F.coalesce("by_set", F.lit(False))), "marked")
     alone, nodes = marked.filter("not linked").select(*nodes.columns), marked.filter("linked").select(*nodes.columns)
-    links = links.join(nodes.select(F.col("set").alias("a")).distinct(), "a", "left_semi")
+    links = links.join(shuffled(nodes.select(F.col("set").alias("a")).distinct()), "a", "left_semi")
     state = nodes.withColumn("accepted", F.when(F.col("p").isNotNull(), F.lit(False)))
     while True:
         live = staged(state, "state")
@@ -288,8 +288,8 @@ def _settled(nodes: DataFrame, sets: DataFrame, share: float) -> DataFrame:
         some = live.filter("accepted is null or accepted")
         by_addr = some.filter("addr is not null").groupBy("addr").agg(*first("addr"))
         own = some.filter("set is not null").groupBy(F.col("set").alias("b")).agg(*first("own"))
-        by_set = links.join(own, "b").groupBy(F.col("a").alias("set")).agg(F.min("q_own").alias("q_set"), F.min("open_own").alias("open_set"))
-        state = live.join(by_addr, "addr", "left").join(by_set, "set", "left")
+        by_set = links.join(shuffled(own), "b").groupBy(F.col("a").alias("set")).agg(F.min("q_own").alias("q_set"), F.min("open_own").alias("open_set"))
+        state = live.join(shuffled(by_addr), "addr", "left").join(shuffled(by_set), "set", "left")
         q, wait = F.least("q_addr", "q_set"), F.coalesce(F.least("open_addr", "open_set") < F.col("batch"), F.lit(False))
         hit = F.coalesce(q["batch"] < F.col("batch"), F.lit(False))
         accepted = F.when(F.col("accepted").isNotNull(), F.col("accepted")).when(hit, False).when(wait, F.lit(None)).otherwise(True)
@@ -307,13 +307,15 @@ def _step(nodes: DataFrame, sets: DataFrame, store: Store, share: float, fan: in
     else:
         by_set = nearest_sets(sets, store.read("segments"), store.read("sets"), share, fan)
         old = store.read("nodes").filter("p is null and addr is not null")
-        by_addr = nodes.filter("addr is not null").select("addr").distinct().join(old.select("addr", F.struct("batch", "id").alias("q")), "addr").groupBy("addr").agg(F.min("q").alias("q"))
-        met = nodes.join(by_addr, "addr", "left").join(by_set, "set", "left").withColumn("p", F.least("q", "p")).drop("q")
+        by_addr = nodes.filter("addr is not null").select("addr").distinct().join(shuffled(old.select("addr", F.struct("batch", "id").alias("q"))), "addr").groupBy("addr").agg(F.min("q").alias("q"))
+        met = nodes.join(shuffled(by_addr), "addr", "left").join(shuffled(by_set), "set", "left").withColumn("p", F.least("q", "p")).drop("q")
     met = met.select("node", "n", "addr", "set", "batch", "id", "p")
     met = staged(_settled(met, sets, share) if several else met, "met")
-    new = met.filter("p is null and set is not null").groupBy("set").agg(F.min(F.struct("batch", "id")).alias("f")).select("set", "f.*")
+    # Both sides are dealt to the buckets before they meet, so that each bucket is one file, whatever the number of shuffle partitions.
+    new = met.filter("p is null and set is not null").select("set", "batch", "id").repartition(store.buckets, "set")
+    new = new.groupBy("set").agg(F.min(F.struct("batch", "id")).alias("f")).select("set", "f.*")
     store.append("nodes", met)
-    store.append("sets", sets.join(new, "set"), dealt=True)
+    store.append("sets", sets.repartition(store.buckets, "set").join(shuffled(new), "set"), dealt=True)
     # The sets just appended: the files of earlier steps are passed over by their statistics.
     oldest = met.agg(F.min("batch")).first()[0]
     store.append("segments", segment_index(store.read("sets").filter(F.col("batch") >= oldest), share))

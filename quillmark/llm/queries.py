@@ -16,7 +16,7 @@ from quillmark.llm.packing import fill, pack
 from quillmark.llm.tokens import encode_corpus
 from quillmark.llm.topn import top_n
 from quillmark.llm.truncation import cut_rates, find_cut, values
-from quillmark.runtime import table
+from quillmark.runtime import shuffled, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -76,7 +76,7 @@ def p6_rates(spark: SparkSession, d: str) -> DataFrame:
 
 def _submissions(spark: SparkSession, d: str) -> DataFrame:
     c, u = table(spark, d, "rd_resource_candidate"), table(spark, d, "rd_urls")
-    x = c.select("id", "url_id", "description").join(u.select(u["id"].alias("url_id"), "url", "batch_id"), "url_id")
+    x = c.select("id", "url_id", "description").join(shuffled(u.select(u["id"].alias("url_id"), "url", "batch_id")), "url_id")
     return x.select("id", F.col("batch_id").alias("batch"), address(F.col("url")).alias("addr"), host(F.col("url")).alias("host"), word_set(F.col("description")).alias("words"))
 
 

@@ -158,6 +158,30 @@ def test_batch_after_batch_gives_the_same(spark, tmp_path):
     assert rows(increment.deduplicate_batch(spark.createDataFrame(data, schema), whole), "id", "repeats") == sorted(got)
 
 
+def test_no_step_broadcasts_what_grows(spark, monkeypatch):
+    """Probes are exploded and texts stored compressed, so that Spark takes them for small: the joins of a step don't ask it."""
+    data = [r for r in _history(random.Random(6)) if r[1] <= "201304"]
+    df = spark.createDataFrame(data, "id long, batch string, addr string, host string, words array<string>")
+    joins, stage, append = [], increment.staged, increment.Store.append
+    seen = lambda d: joins.extend(x for x in d._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x)
+    monkeypatch.setattr(increment, "staged", lambda d, *a: (seen(d), stage(d, *a))[1])
+    monkeypatch.setattr(increment.Store, "append", lambda self, table, d, *a, **k: (seen(d), append(self, table, d, *a, **k))[1])
+    assert rows(increment.deduplicate_history(df, step_rows=100), "id", "repeats") == _brute(data)[0]
+    assert len(joins) > 20 and not [x for x in joins if "strategy=merge" not in x]
+
+
+def test_a_bucket_is_a_file(spark, tmp_path):
+    """A step leaves a file a bucket, not one for each bucket and shuffle partition: the driver lists them all."""
+    df = spark.createDataFrame([r for r in _history(random.Random(7)) if r[1] == "201301"], "id long, batch string, addr string, host string, words array<string>")
+    store = increment.Store(spark, f"file://{tmp_path}/store", buckets=3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        increment.deduplicate_batch(df, store).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {t: len(list((tmp_path / "store" / t).glob("*.parquet"))) for t in store.BUCKETED} == {"nodes": 3, "sets": 3, "segments": 3}
+
+
 @pytest.mark.parametrize("seed", [4])
 def test_hot_segments_are_refined_without_loss(spark, seed):
     rng = random.Random(seed)
